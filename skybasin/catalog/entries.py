@@ -81,6 +81,25 @@ def dim_time(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     return gold.build_dim_time(dates, b.RUN_TS)
 
 
+_STARS: dict[tuple[str, str, bool], TableStore] = {}
+
+
+def star(spark: SparkSession, sf_dir: str, wide: bool = False) -> TableStore:
+    """Stored fact and dimension tables over the test tables.
+
+    Written once per application and table folder, as queries read stored tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, wide)
+    if key not in _STARS:
+        store = TableStore(spark, working_dir(spark, "star"))
+        locations = places(spark, sf_dir, wide)
+        store.append(fv.FACT, gold.build_fact(joined(spark, sf_dir, wide), b.RUN_TS, locations))
+        store.append(fv.DIM_LOCATION, gold.build_dim_location(locations, b.RUN_TS))
+        store.append(fv.DIM_TIME, gold.build_dim_time(store.read(fv.FACT), b.RUN_TS))
+        _STARS[key] = store
+    return _STARS[key]
+
+
 def _errors_text(df: DataFrame) -> DataFrame:
     return df.withColumn("errors", F.array_join(quality.ERRORS, ";")).drop(quality.ERRORS)
 
@@ -423,7 +442,7 @@ def _on_fact(name: str, sql: str, query: Callable[[DataFrame], DataFrame]) -> No
         text = o.with_tables(sql.replace("{place}", place), wide)
 
         def run(spark: SparkSession, sf_dir: str, wide: bool = wide, place: str = place) -> DataFrame:
-            table = fact(spark, sf_dir, wide)
+            table = star(spark, sf_dir, wide).read(fv.FACT)
             return query(table, place) if "{place}" in sql else query(table)
 
         register(key, text)(run)
@@ -458,31 +477,28 @@ _on_fact("q23", _Q23, alerts.overall_alert)
 _on_fact("q24", _Q24, alerts.flood_alert)
 
 
-@register("q04", o.with_tables(_Q04))
-def q04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    locations = gold.build_dim_location(places(spark, sf_dir), b.RUN_TS)
-    return bi.risk_dashboard(fact(spark, sf_dir), locations)
-
-
-@register("q04_wide", o.with_tables(_Q04, True))
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    locations = gold.build_dim_location(places(spark, sf_dir, True), b.RUN_TS)
-    return bi.risk_dashboard(fact(spark, sf_dir, True), locations)
+def _on_star(name: str, sql: str, query: Callable[[TableStore], DataFrame]) -> None:
+    """Register a query of several tables for few and for many provinces."""
+    for wide, key in ((False, name), (True, f"{name}_wide")):
 
+        def run(spark: SparkSession, sf_dir: str, wide: bool = wide) -> DataFrame:
+            return query(star(spark, sf_dir, wide))
 
-@register("q07", o.with_tables(_q07("fact", "dim_time")))
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.monthly_summary(fact(spark, sf_dir), dim_time(spark, sf_dir))
+        register(key, o.with_tables(sql.replace("{place}", _PLACE[wide]), wide))(run)
 
 
-@register("q07_wide", o.with_tables(_q07("fact", "dim_time"), True))
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.monthly_summary(fact(spark, sf_dir, True), dim_time(spark, sf_dir, True))
+_on_star("q04", _Q04, lambda t: bi.risk_dashboard(t.read(fv.FACT), t.read(fv.DIM_LOCATION)))
+_on_star(
+    "q07",
+    _q07("fact", "dim_time"),
+    lambda t: bi.monthly_summary(t.read(fv.FACT), t.read(fv.DIM_TIME)),
+)
 
 
 @register("q07_province", o.with_tables(_q07("fact", "dim_time", "WHERE province = 'Bangkok'")))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.monthly_summary(fact(spark, sf_dir), dim_time(spark, sf_dir), "Bangkok")
+    tables = star(spark, sf_dir)
+    return bi.monthly_summary(tables.read(fv.FACT), tables.read(fv.DIM_TIME), "Bangkok")
 
 
 # The same plans over lineitem, for volume: suppliers as provinces, ship dates as days.
@@ -589,7 +605,7 @@ _SET_FACT = ["province", "date", "pm25", "risk_score", "risk_level", "flood_risk
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fact(spark, sf_dir, True)
+    rows = star(spark, sf_dir, True).read(fv.FACT)
     old = rows.filter("date < '2024-01-21'").select(*_SET_FACT, "weather_description", "_layer")
     new = rows.filter("date >= '2024-01-10'").select(
         "province",
@@ -760,7 +776,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = F.when(F.col("flood_risk").isNull(), "Severe").otherwise(F.col("risk_level"))
-    rows = fact(spark, sf_dir, True).withColumns(
+    rows = star(spark, sf_dir, True).read(fv.FACT).withColumns(
         {
             "risk_level": F.when(F.col("pm25").isNotNull(), level),
             "_layer": F.when(F.col("is_rainy"), "test").otherwise(F.col("_layer")),

@@ -7,6 +7,7 @@ it, every day the run touched is joined again, so late rows reach the fact table
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def bronze_to_silver(
         cleaned = last_write(
             quality.valid(checked), TABLES[table].key, ["_ingested_at", "message_id"]
         )
-        days = store.days_of(table, store.upsert(table, cleaned))
+        days = store.upsert(table, cleaned)
         touched = None if days is None or touched is None else touched | set(days)
         next_marks.append(watermarks.next_mark(fresh, flow, source))
 
@@ -58,8 +59,7 @@ def bronze_to_silver(
     if days != []:
         inputs = [store.read(fv.SILVER[source], days) for source in fv.SOURCES]
         store.upsert(fv.SILVER["joined"], join_sources(*inputs, run_ts=run_ts, as_of=as_of))
-    for mark in next_marks:
-        store.upsert("watermarks", mark)
+    store.upsert("watermarks", reduce(DataFrame.union, next_marks))
     return days
 
 

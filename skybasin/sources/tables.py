@@ -36,8 +36,10 @@ class TableStore:
     def create_all(self) -> None:
         """Create the tables of all layers that do not exist yet."""
         for table in TABLES.values():
-            empty = self.spark.createDataFrame([], table.schema)
-            self._writer(table, empty).mode("ignore").parquet(self.path(table.name))
+            nothing = self.spark.range(0).limit(0)
+            self._writer(table, self._shaped(table, nothing)).mode("ignore").parquet(
+                self.path(table.name)
+            )
 
     def read(self, name: str, days: Collection[str] | None = None) -> DataFrame:
         """A table with its declared schema, of some days if given."""
@@ -69,8 +71,10 @@ class TableStore:
         days = rows.select(_day(table).alias(DAY)).distinct().limit(MAX_LISTED_DAYS + 1).collect()
         return None if len(days) > MAX_LISTED_DAYS else [row[DAY] for row in days]
 
-    def upsert(self, name: str, updates: DataFrame) -> DataFrame:
-        """Set updates (one per key) on a table; returns them as written.
+    def upsert(self, name: str, updates: DataFrame) -> list[str] | None:
+        """Set updates (one per key) on a table; returns the days they belong to.
+
+        None stands for a table without days, or for more than can be listed.
 
         The updates are checkpointed once.  Only the partitions they touch are
         read and replaced, and a partition is swapped in when all tasks are done,
@@ -81,7 +85,7 @@ class TableStore:
         updates = updates.checkpoint()
         days = self.days_of(name, updates)
         if days == []:
-            return updates
+            return days
         merged = upsert(self.read(name, days), updates, table.key)
         if not table.day_from:
             # An unpartitioned table (a dimension, the marks) is replaced whole.
@@ -89,7 +93,7 @@ class TableStore:
         self._writer(table, self._shaped(table, merged)).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic" if table.day_from else "static"
         ).parquet(self.path(name))
-        return updates
+        return days
 
     def changes(self, name: str, updates: DataFrame) -> DataFrame:
         """What ``upsert`` would do to each row, in the column ``_change``."""
