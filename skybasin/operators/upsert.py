@@ -26,7 +26,15 @@ def upsert(
     Keys match null-safe.  ``updates`` holds at most one row per key (see
     ``last_write``).  ``with_change`` adds ``_change``: inserted, modified,
     matched (set to equal values) or kept (not touched).
+
+    Updates that give every column replace whole rows, so the newer of two rows is
+    picked after a single shuffle; otherwise the two rows are joined.
     """
+    if not with_change and set(target.columns) <= set(updates.columns):
+        versions = target.withColumn("__version", F.lit(0)).unionByName(
+            updates.withColumn("__version", F.lit(1)), allowMissingColumns=True
+        )
+        return latest_rows(versions, keys, ["__version"]).drop("__version")
     old = target.select(F.struct(*target.columns).alias("old"))
     new = updates.select(F.struct(*updates.columns).alias("new"))
     same_key = None
@@ -72,10 +80,11 @@ def insert_absent(incoming: DataFrame, stored: DataFrame, key: str, first: Seque
     A null key counts as a key like any other.  ``first`` sorts the copies inside
     ``incoming``.  The stored side is read once, key column only, and reduced to
     the keys that occur in ``incoming`` before the second join: when the incoming
-    rows are few, Spark broadcasts them and the stored table is not shuffled.
+    rows are few, Spark broadcasts them and the stored table is not shuffled.  Both
+    joins see every incoming key once, however often it is repeated.
     """
     unique = latest_rows(incoming, [key], first)
-    wanted = incoming.select(F.col(key).alias("__wanted"))
+    wanted = incoming.select(F.col(key).alias("__wanted")).distinct()
     known = stored.select(F.col(key).alias("__known"))
     known = known.join(wanted, F.col("__known").eqNullSafe(F.col("__wanted")), "left_semi")
     return unique.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")

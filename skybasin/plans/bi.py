@@ -126,17 +126,23 @@ def monthly_summary(
     if province:
         fact = fact.filter(F.col("province") == province)
     months = dim_time.select("date", "year", "month")
-    return (
+    means = (
         fact.join(months, "date", "left")
         .groupBy("year", "month", "province")
         .agg(
-            half_even(steady_avg(F.col("pm25")), 2).alias("avg_pm25"),
-            half_even(steady_avg(F.col("temperature")), 1).alias("avg_temp"),
-            half_even(steady_avg(F.col("risk_score")), 2).alias("avg_risk_score"),
+            steady_avg(F.col("pm25")).alias("avg_pm25"),
+            steady_avg(F.col("temperature")).alias("avg_temp"),
+            steady_avg(F.col("risk_score")).alias("avg_risk_score"),
             F.count("*").alias("record_count"),
         )
-        .orderBy("year", "month", "province")
     )
+    return means.withColumns(
+        {
+            "avg_pm25": half_even(F.col("avg_pm25"), 2),
+            "avg_temp": half_even(F.col("avg_temp"), 1),
+            "avg_risk_score": half_even(F.col("avg_risk_score"), 2),
+        }
+    ).orderBy("year", "month", "province")
 
 
 def current_risk(fact: DataFrame) -> DataFrame:
