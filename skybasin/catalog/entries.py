@@ -789,6 +789,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Files ---------------------------------------------------------------------
 
 _CSV_FIELDS = "date, province, flood_risk, affected_area_km2, water_level_m, source"
+_CSV_READ = ", ".join(f"coalesce({name}, '') AS {name}" for name in _CSV_FIELDS.split(", "))
 
 
 def _csv(spark: SparkSession, sf_dir: str) -> str:
@@ -801,12 +802,12 @@ def _csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@register("csv_roundtrip", o.with_tables(f"SELECT {_CSV_FIELDS} FROM fl_b"))
+@register("csv_roundtrip", o.with_tables(f"SELECT {_CSV_READ} FROM fl_b"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_flood_csv(spark, _csv(spark, sf_dir))
 
 
-@register("csv_of_day", o.with_tables(f"SELECT {_CSV_FIELDS} FROM fl_b WHERE date = '{MID_MONTH}'"))
+@register("csv_of_day", o.with_tables(f"SELECT {_CSV_READ} FROM fl_b WHERE date = '{MID_MONTH}'"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_flood_csv(spark, _csv(spark, sf_dir), MID_MONTH)
 

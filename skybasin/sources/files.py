@@ -14,8 +14,11 @@ _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSp
 
 
 def read_flood_csv(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """Flood records with a header line, all fields as text, of one date if given."""
-    records = spark.read.options(**_CSV).schema(FLOOD_CSV).csv(path)
+    """Flood records with a header line, of one date if given.
+
+    All fields are text, an empty field is an empty text.
+    """
+    records = spark.read.options(**_CSV).schema(FLOOD_CSV).csv(path).fillna("")
     return records if date is None else records.filter(F.col("date") == date)
 
 
