@@ -7,7 +7,7 @@ it, every day the run touched is joined again, so late rows reach the fact table
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from skybasin.operators.joining import join_sources
 from skybasin.operators.upsert import last_write
 from skybasin.plans.alerts import flood_alert, overall_alert
 from skybasin.schemas import TABLES
+from skybasin.session import side_by_side
 from skybasin.sources import reference
 from skybasin.sources.tables import TableStore
 
@@ -32,35 +33,51 @@ def bronze_to_silver(
     as_of: str | None = None,
     strict: bool = False,
 ) -> list[str] | None:
-    """Clean what is new, upsert it, join the touched days.
+    """Clean what is new, upsert it, join the touched days, move the marks.
 
     Returns those days, or None when they are too many to list (then all).
     """
+    days, next_marks = _to_silver(store, run_ts, sources, as_of, strict)
+    store.upsert("watermarks", next_marks)
+    return days
+
+
+def _to_silver(
+    store: TableStore,
+    run_ts: str,
+    sources: Iterable[str] | None,
+    as_of: str | None,
+    strict: bool,
+) -> tuple[list[str] | None, DataFrame]:
     sources = list(sources or fv.SOURCES)
     flow = watermarks.flow_name(sources)
     marks = store.read("watermarks")
-    touched: set[str] | None = set()
-    next_marks = []
-    for source in sources:
+
+    def clean(source: str) -> tuple[list[str] | None, DataFrame, DataFrame]:
         mark = watermarks.stored_mark(marks, flow, source)
         bronze = store.read_from_day(fv.BRONZE[source], mark and mark[:10])
         fresh = cleaning.since(bronze, mark)
         checked = cleaning.CHECKS[source](fresh, run_ts, strict=strict)
-        store.append("silver_rejects", cleaning.quarantine(checked, source, run_ts))
         table = fv.SILVER[source]
         cleaned = last_write(
             quality.valid(checked), TABLES[table].key, ["_ingested_at", "message_id"]
         )
-        days = store.upsert(table, cleaned)
-        touched = None if days is None or touched is None else touched | set(days)
-        next_marks.append(watermarks.next_mark(fresh, flow, source))
+        return (
+            store.upsert(table, cleaned),
+            cleaning.quarantine(checked, source, run_ts),
+            watermarks.next_mark(fresh, flow, source),
+        )
+
+    done = side_by_side(store.spark, [partial(clean, source) for source in sources])
+    listed, rejects, next_marks = zip(*done)
+    store.append("silver_rejects", reduce(DataFrame.union, rejects))
+    touched = None if None in listed else set().union(*listed)
 
     days = [as_of] if as_of else None if touched is None else sorted(touched)
     if days != []:
         inputs = [store.read(fv.SILVER[source], days) for source in fv.SOURCES]
         store.upsert(fv.SILVER["joined"], join_sources(*inputs, run_ts=run_ts, as_of=as_of))
-    store.upsert("watermarks", reduce(DataFrame.union, next_marks))
-    return days
+    return days, reduce(DataFrame.union, next_marks)
 
 
 def silver_to_gold(
@@ -69,17 +86,24 @@ def silver_to_gold(
     """Score joined rows into the star schema: all days, or those given."""
     joined = store.read(fv.SILVER["joined"], days)
     places = reference.provinces(store.spark)
-    store.upsert(fv.DIM_LOCATION, gold.build_dim_location(places, run_ts))
-    store.upsert(fv.DIM_TIME, gold.build_dim_time(joined, run_ts))
-    store.upsert(fv.FACT, gold.build_fact(joined, run_ts, places))
+    _upsert_at_once(
+        store,
+        {
+            fv.DIM_LOCATION: gold.build_dim_location(places, run_ts),
+            fv.DIM_TIME: gold.build_dim_time(joined, run_ts),
+            fv.FACT: gold.build_fact(joined, run_ts, places),
+        },
+    )
 
 
 def run_flow(
     store: TableStore, run_ts: str, sources: Iterable[str], as_of: str | None = None
 ) -> None:
-    days = bronze_to_silver(store, run_ts, sources, as_of)
+    """Raw to gold.  The marks move last: a run that broke off is simply run again."""
+    days, next_marks = _to_silver(store, run_ts, sources, as_of, strict=False)
     if days != []:
         silver_to_gold(store, run_ts, days)
+    store.upsert("watermarks", next_marks)
 
 
 def hourly_flow(store: TableStore, run_ts: str, as_of: str | None = None) -> DataFrame:
@@ -103,16 +127,25 @@ def reseed(store: TableStore, export: DataFrame, run_ts: str) -> None:
         {"_layer": F.lit("silver"), "_seeded_from": F.lit(fv.SEEDED_SILVER)}
     )
     places = reference.provinces(store.spark)
-    store.upsert(fv.DIM_LOCATION, gold.build_dim_location(places, run_ts))
-    store.upsert(fv.DIM_TIME, gold.build_dim_time(export, run_ts))
-    store.upsert(fv.SILVER["joined"], seeded)
     fact = gold.build_fact(
         _with_columns(named, TABLES[fv.SILVER["joined"]].schema.fieldNames()),
         run_ts,
         places,
         fv.SEEDED_GOLD,
     )
-    store.upsert(fv.FACT, fact)
+    _upsert_at_once(
+        store,
+        {
+            fv.DIM_LOCATION: gold.build_dim_location(places, run_ts),
+            fv.DIM_TIME: gold.build_dim_time(export, run_ts),
+            fv.SILVER["joined"]: seeded,
+            fv.FACT: fact,
+        },
+    )
+
+
+def _upsert_at_once(store: TableStore, updates: dict[str, DataFrame]) -> None:
+    side_by_side(store.spark, [partial(store.upsert, name, rows) for name, rows in updates.items()])
 
 
 def _with_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -45,3 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 def working_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder of its own below the shared one."""
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, jobs: list[Callable]) -> list:
+    """Run jobs that write different tables at once: one fills the gaps another leaves."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]

@@ -29,6 +29,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        shared_dir(spark)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -81,18 +82,20 @@ class TableStore:
         so tasks that are lost and run again read unchanged files.
         """
         table = TABLES[name]
-        shared_dir(self.spark)
-        updates = updates.checkpoint()
-        days = self.days_of(name, updates)
-        if days == []:
-            return days
-        merged = upsert(self.read(name, days), updates, table.key)
         if not table.day_from:
             # An unpartitioned table (a dimension, the marks) is replaced whole.
-            merged = merged.checkpoint()
-        self._writer(table, self._shaped(table, merged)).mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic" if table.day_from else "static"
-        ).parquet(self.path(name))
+            merged = upsert(self.read(name), updates, table.key).checkpoint()
+            self._writer(table, self._shaped(table, merged)).mode("overwrite").parquet(
+                self.path(name)
+            )
+            return None
+        updates = updates.checkpoint()
+        days = self.days_of(name, updates)
+        if days != []:
+            merged = upsert(self.read(name, days), updates, table.key)
+            self._writer(table, self._shaped(table, merged)).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).parquet(self.path(name))
         return days
 
     def changes(self, name: str, updates: DataFrame) -> DataFrame:

@@ -18,14 +18,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skybasin import fixed_values as fv
 from skybasin.operators.latest import latest_rows
 from skybasin.operators.upsert import insert_absent
+from skybasin.session import side_by_side
 from skybasin.sources.messages import decode, routed
 from skybasin.sources.tables import TableStore
 
@@ -64,8 +66,8 @@ def unreadable(messages: DataFrame) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2])
 
 
-def first_copies(records: DataFrame) -> list:
-    """Sort order of the copies of one message inside a batch."""
+def _any_copy(records: DataFrame) -> list:
+    """A fixed choice among the copies of one message inside a batch."""
     return [F.struct(*records.columns)]
 
 
@@ -74,34 +76,36 @@ def ingest_batch(
 ) -> dict[str, int]:
     """Store one micro-batch; returns total, written, duplicates and errors."""
     messages = routed(batch).filter(F.col("source").isNotNull()).persist()
+
+    def store_source(source: str) -> int:
+        records = read_records(messages, source)
+        table = fv.BRONZE[source]
+        if look_up:
+            fresh = insert_absent(records, store.read(table), "message_id", _any_copy(records))
+        else:
+            fresh = latest_rows(records, ["message_id"], _any_copy(records))
+        return _append(store, table, stamped(fresh, source, ingested_at))
+
+    def store_rejects() -> int:
+        rejects = unreadable(messages).withColumn("_ingested_at", F.lit(ingested_at))
+        return _append(store, "bronze_rejects", rejects)
+
     try:
         total = messages.count()
-        rejects = unreadable(messages).withColumn("_ingested_at", F.lit(ingested_at))
-        errors = _append(store, "bronze_rejects", rejects)
-        written = 0
-        for source in fv.SOURCES:
-            records = read_records(messages, source)
-            table = fv.BRONZE[source]
-            if look_up:
-                fresh = insert_absent(
-                    records, store.read(table), "message_id", first_copies(records)
-                )
-            else:
-                fresh = latest_rows(records, ["message_id"], first_copies(records))
-            written += _append(store, table, stamped(fresh, source, ingested_at))
+        errors, *written = side_by_side(
+            store.spark, [store_rejects, *(partial(store_source, s) for s in fv.SOURCES)]
+        )
     finally:
         messages.unpersist()
     return {
         "total": total,
-        "written": written,
-        "duplicates": total - written - errors,
+        "written": sum(written),
+        "duplicates": total - sum(written) - errors,
         "errors": errors,
     }
 
 
 def _append(store: TableStore, name: str, rows: DataFrame) -> int:
-    from pyspark.sql import Observation
-
     seen = Observation()
     store.append(name, rows.observe(seen, F.count(F.lit(1)).alias("n")))
     return seen.get["n"]
