@@ -18,7 +18,8 @@ def to_double(text: Column) -> Column:
 
     Java would also read ``12d`` and ``12f`` as numbers, so those are cut out.
     """
-    java_suffix = text.cast("string").rlike(r"[0-9.][dDfF]\s*$")
+    shown = F.rtrim(text.cast("string"))
+    java_suffix = F.substring(shown, -1, 1).isin("d", "D", "f", "F") & ~shown.ilike("%inf")
     return F.when(~java_suffix, text.try_cast("double"))
 
 

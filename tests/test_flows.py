@@ -134,6 +134,20 @@ def test_late_rows_reach_the_fact_table(loaded):
     assert {r.date for r in loaded.read(fv.DIM_TIME).collect()} == {"2026-04-21", "2026-04-25"}
 
 
+def test_a_run_that_broke_off_is_run_again(loaded, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(flows, "silver_to_gold", fail)
+        with pytest.raises(RuntimeError):
+            flows.run_flow(loaded, RUN, fv.SOURCES)
+    assert loaded.read("watermarks").count() == 0
+    flows.run_flow(loaded, LATER, fv.SOURCES)
+    assert loaded.read(fv.FACT).count() == 5
+    assert loaded.read(fv.SILVER["air_quality"]).count() == 4
+
+
 def test_as_of_joins_one_day_only(loaded):
     add(loaded, "air_quality", air("Bangkok", 1, "5", RUN, "2026-04-22"))
     flows.run_flow(loaded, RUN, fv.SOURCES, as_of="2026-04-22")

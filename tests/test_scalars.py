@@ -176,9 +176,9 @@ def test_strip_cuts_every_kind_of_blank(spark):
 
 
 def test_to_double(spark):
-    values = ["17", " 16.9 ", "1e-05", "-0.5", "12d", "12f", "abc", "", None]
+    values = ["17", " 16.9 ", "1e-05", "-0.5", "12d", "12f ", "1.D", "-inf", "abc", "", None]
     assert column(spark, values, "string", text.to_double) == [
-        17.0, 16.9, 1e-05, -0.5, None, None, None, None, None]
+        17.0, 16.9, 1e-05, -0.5, None, None, None, -math.inf, None, None, None]
 
 
 def test_number_text_is_pythons(spark):
