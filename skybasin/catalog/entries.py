@@ -954,7 +954,7 @@ def _ingested(spark: SparkSession, sf_dir: str, dedup: str) -> tuple[TableStore,
         for name, n in counts.items():
             totals[name] = totals.get(name, 0) + n
 
-    # Enough files per batch that the stream still needs several batches.
+    # Few files per batch, so that the stream needs several batches.
     stream = messages.read_stream(spark, "parquet", f"{folder}/in", max_per_trigger=8)
     query = start_ingest(
         stream,

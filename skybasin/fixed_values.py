@@ -53,7 +53,6 @@ AIR_API_SOURCE = "openaq_custom"
 WEATHER_API_SOURCE = "openweather"
 SEEDED_SILVER = "json_export"
 SEEDED_GOLD = "silver_environmental_joined"
-MAX_RECORDS_PER_POLL = 200
 
 # --- Validation limits ---------------------------------------------------------
 PM25_MIN = 0

@@ -45,7 +45,9 @@ RAW = {
         "water_level_m string, source string, ingested_at string, message_id string"
     ),
 }
-_STAMPS = _schema("_ingested_at string, _source string, _layer string")
+# Fields a message has beyond the declared ones, as a JSON object.
+EXTRA = "_extra"
+_STAMPS = _schema(f"{EXTRA} string, _ingested_at string, _source string, _layer string")
 
 # Nested API answers, as DDL for from_json.
 AIR_PAYLOAD = (

@@ -34,14 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     A local session without that setting gets a temporary folder; a cluster
     without it is refused, since a folder on one machine would be lost with it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="skybasin-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

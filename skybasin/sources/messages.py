@@ -10,33 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skybasin import fixed_values as fv
-from skybasin.schemas import MESSAGE, RAW
-
-CORRUPT = "__corrupt"
+from skybasin.schemas import EXTRA, MESSAGE, RAW
 
 
 def read_stream(
     spark: SparkSession,
     format: str = "kafka",
     path: str | None = None,
-    max_per_trigger: int = fv.MAX_RECORDS_PER_POLL,
+    max_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
     """All topics as one stream, from the earliest message on.
 
-    For Kafka ``max_per_trigger`` counts messages, for files it counts files.
+    ``max_per_trigger`` limits a micro-batch: messages for Kafka, else files.  Without
+    it a batch takes what is there.
     """
     reader = spark.readStream.format(format).options(**options)
+    if max_per_trigger:
+        limit = "maxOffsetsPerTrigger" if format == "kafka" else "maxFilesPerTrigger"
+        reader = reader.option(limit, max_per_trigger)
     if format == "kafka":
-        reader = (
-            reader.option("subscribe", ",".join(fv.TOPICS.values()))
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_per_trigger)
+        reader = reader.option("subscribe", ",".join(fv.TOPICS.values())).option(
+            "startingOffsets", "earliest"
         )
         return reader.load().select(
             "topic", F.col("key").cast("string"), F.col("value").cast("string")
         )
-    return reader.schema(MESSAGE).option("maxFilesPerTrigger", max_per_trigger).load(path)
+    return reader.schema(MESSAGE).load(path)
 
 
 def envelope(records: DataFrame, source: str) -> DataFrame:
@@ -59,20 +59,20 @@ def routed(messages: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame, source: str) -> DataFrame:
-    """Messages with the columns of their JSON object as ``record``.
+    """Messages with the fields of their JSON object as ``record``.
 
-    Values keep the text that arrived.  What is no JSON object has a null record.
+    Values keep the text that arrived; fields that are not declared are gathered in
+    ``_extra``.  What is no JSON object has a null record.
     """
-    ddl = ", ".join(f"{f.name} string" for f in RAW[source].fields)
-    parsed = F.from_json(
-        F.col("value"),
-        f"{ddl}, {CORRUPT} string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    names = RAW[source].fieldNames()
+    parsed = F.col("__parsed")
+    extra = F.map_filter(parsed, lambda name, _: ~name.isin(*names))
+    fields = F.struct(
+        *(F.try_element_at(parsed, F.lit(name)).alias(name) for name in names),
+        F.when(F.size(extra) > 0, F.to_json(extra)).alias(EXTRA),
     )
-    fields = F.struct(*(F.col(f"__parsed.{f.name}") for f in RAW[source].fields))
-    readable = F.col("__parsed").isNotNull() & F.col(f"__parsed.{CORRUPT}").isNull()
     return (
-        messages.withColumn("__parsed", parsed)
-        .withColumn("record", F.when(readable, fields))
+        messages.withColumn("__parsed", F.from_json(F.col("value"), "map<string, string>"))
+        .withColumn("record", F.when(parsed.isNotNull(), fields))
         .drop("__parsed")
     )

@@ -202,6 +202,6 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
     from skybasin.session import shared_dir
 
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
-                              sparkContext=SimpleNamespace(master="spark://host:7077"))
+                              sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError):
         shared_dir(cluster)

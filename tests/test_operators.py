@@ -1,5 +1,6 @@
 """Operators against brute force on small frames."""
 
+import json
 import random
 
 import pytest
@@ -307,6 +308,18 @@ def test_envelope_round_trip(spark):
     assert (row.record.affected_area_km2, row.record.source) == ("1.50", None)
 
 
+def test_decode_keeps_every_field_as_it_came(spark):
+    values = ['{"date":"d","flood_risk":"Low","affected_area_km2":1.5,"sensor":"s1","n":17,"deep":{"a":[1,2]}}',
+              '{"date":null}', "{}", "{broken", '{"date":"d"', "[1]", "5", "null", "", None, '["date"]', '"date"']
+    rows = spark.createDataFrame([("flood_raw", str(i), v) for i, v in enumerate(values)],
+                                 "topic string, key string, value string")
+    got = [r.record for r in messages.decode(messages.routed(rows), "flood").orderBy(F.col("key").cast("int")).collect()]
+    assert (got[0].date, got[0].affected_area_km2) == ("d", "1.5")
+    assert json.loads(got[0]._extra) == {"sensor": "s1", "n": "17", "deep": '{"a":[1,2]}'}
+    assert [g and (g.date, g._extra) for g in got[1:3]] == [(None, None)] * 2
+    assert got[3:] == [None] * 9
+
+
 def test_guards(spark):
     records = spark.createDataFrame([("2026-01-01", 1), ("2026-01-02", 2), (None, 3)], "date string, n int")
     loaded = records.filter("n = 1")
