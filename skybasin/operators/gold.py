@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skybasin import fixed_values as fv
@@ -105,7 +105,7 @@ def build_dim_location(locations: DataFrame, run_ts: str) -> DataFrame:
 def build_dim_time(dated: DataFrame, run_ts: str) -> DataFrame:
     """Calendar parts of the distinct real dates of a frame (ISO week number)."""
     day = F.col("__day")
-    days = dated.select("date").distinct().filter(valid_date(F.col("date")))
+    days = _dates(dated).filter(_per_date(valid_date(F.col("date"))))
     return days.withColumn("__day", F.col("date").try_cast("date")).select(
         "date",
         F.year(day).alias("year"),
@@ -122,5 +122,14 @@ def build_dim_time(dated: DataFrame, run_ts: str) -> DataFrame:
 
 def invalid_dates(dated: DataFrame) -> DataFrame:
     """Dates no calendar row can be built for, with the rows that carry them."""
-    bad = dated.filter(F.col("date").isNotNull() & ~valid_date(F.col("date")))
-    return bad.groupBy("date").agg(F.count("*").alias("rows"))
+    return _dates(dated).filter(_per_date(F.col("date").isNotNull() & ~valid_date(F.col("date"))))
+
+
+def _dates(dated: DataFrame) -> DataFrame:
+    return dated.groupBy("date").agg(F.count("*").alias("rows"))
+
+
+def _per_date(test: Column) -> Column:
+    """The test, tied to the row count so that Spark leaves it behind the grouping:
+    it runs once per date instead of once per row."""
+    return F.when(F.col("rows") > 0, test)
