@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import chat, exact_dedup, oracle
-from skybasin.llm.common import table
+from skybasin.llm import bpe, chat, exact_dedup, oracle, token_files
+from skybasin.llm.common import drop_at_exit, table, tokenizer_file
+from skybasin.session import working_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +35,17 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_conversations(turns.unionByName(hostile)))
 
 
+@register()
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = working_dir(spark, "llm-tokens")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write_token_files(docs, folder, tokenizer_file("word_bpe_49k.json"), end_id=1)
+    drop_at_exit(spark, folder)
+    return token_files.read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @register(oracle.EXACT_DEDUP)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,3 +53,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(
         F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+@register()
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenizer_file("byte_bpe_50k.json")
+    return bpe.digest(bpe.encode(docs, path, decoded_col="decoded"))
