@@ -2,7 +2,9 @@
 
 Spark samples splitters over the normalised text and deals the rows out by range, each range is
 sorted outside memory, equal texts are then neighbours, and a window over the text compares
-neighbouring rows in full.  That window needs no further shuffle.
+neighbouring rows in full.  That window needs no further shuffle.  Splitters are the first
+``LEAD`` characters and a hash of the whole text, which follows them in the sort key: the sample
+that the driver sorts stays small with long texts, and a beginning that many texts share is split.
 
 A text with very many copies would be one range.  The at most ``HOT_TEXTS`` most frequent texts
 with ``HOT_COPIES`` copies or more are found by a narrow pre-aggregation over digests, and
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from skybasin.llm.common import text_of
 
+LEAD = 32
 HOT_COPIES = 1_000
 HOT_TEXTS = 1_000
 SALTS = 256
@@ -78,8 +81,11 @@ def mark_copies(
     )
 
     order = F.desc_nulls_last("id") if keep == "largest" else F.asc_nulls_last("id")
-    sorted_text = salted.repartitionByRange("content", "salt")
-    group = Window.partitionBy("content", "salt").orderBy(order)
+    key = ["lead", "spread", "salt"]
+    sorted_text = salted.withColumns(
+        {"lead": F.substring("content", 1, LEAD), "spread": F.xxhash64("content")}
+    ).repartitionByRange(*key)
+    group = Window.partitionBy(*key, "content").orderBy(order)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return sorted_text.select(
         whole_row.alias("row"),
