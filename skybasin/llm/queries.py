@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, exact_dedup, oracle, token_files
+from skybasin.llm import bpe, chat, exact_dedup, minhash, oracle, token_files
 from skybasin.llm.common import drop_at_exit, table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -55,6 +55,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(oracle.NEAR_DEDUP)
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
 @register()
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
