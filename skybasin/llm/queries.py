@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, exact_dedup, minhash, oracle, token_files
+from skybasin.llm import bpe, chat, exact_dedup, minhash, oracle, repeats, token_files
 from skybasin.llm.common import drop_at_exit, table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -46,6 +46,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register(oracle.EXACT_DEDUP)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
