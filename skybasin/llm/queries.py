@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, exact_dedup, minhash, oracle, repeats, token_files
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, minhash, oracle, repeats, token_files
 from skybasin.llm.common import drop_at_exit, table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -77,3 +77,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = tokenizer_file("byte_bpe_50k.json")
     return bpe.digest(bpe.encode(docs, path, decoded_col="decoded"))
+
+
+@register(oracle.TOP_K)
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return cover_tree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
