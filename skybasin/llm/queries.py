@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, cover_tree, exact_dedup, minhash, oracle, repeats, token_files
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, minhash, mixing, oracle, repeats, token_files
 from skybasin.llm.common import drop_at_exit, table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -72,6 +72,12 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
+@register()
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @register()
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
