@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, cover_tree, exact_dedup, minhash, mixing, oracle, repeats, token_files
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, minhash, mixing, oracle, repeats, token_files, toxicity
 from skybasin.llm.common import drop_at_exit, table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -72,6 +72,17 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
+@register()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out("doc_id")))
+    scored = docs.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.score("text", model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 @register()
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
