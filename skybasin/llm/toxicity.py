@@ -203,130 +203,6 @@ def _logistic(features, sizes, wanted, scale, constant, strength: float = 1e-4)
     return weights, float(bias)
 
 
-def score(texts: list[str]) -> np.ndarray:
-            sums = np.empty(len(texts))
-            for i, text in enumerate(texts):
-                sums[i] = self.weights[present(text, place)].sum() + self.constant
-            return 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
-
-        return score
-
-
-def present(text: str, place: np.ndarray) -> np.ndarray:
-    """The chosen features that a text has."""
-    found = [np.zeros(0, np.int32)]
-    for part in buckets(text):
-        hit = place[part]
-        found.append(np.unique(hit[hit >= 0]))
-    return np.unique(np.concatenate(found))
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many toxic and clean texts each bucket occurs."""
-    counts = np.zeros((2, BUCKETS), np.int64)
-    for batch in batches:
-        for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-            parts = [np.zeros(0, np.int64), *buckets(text)]
-            counts[int(toxic), np.unique(np.concatenate(parts))] += 1
-    used = np.flatnonzero(counts.any(axis=0))
-    for at in range(0, len(used), 1 << 16):
-        part = used[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part), pa.array(counts[1, part]), pa.array(counts[0, part])], ["bucket", "toxic", "clean"]
-        )
-
-
-def _features(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
-    place = np.full(BUCKETS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    for batch in batches:
-        for part in slices(batch):
-            rows = [present(text, place) for text in part.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(1), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "features"]
-            )
-
-
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label_col: str = "toxic",
-    training_rows: int = TRAINING_ROWS,
-) -> Model:
-    """Fit the classifier on at most ``training_rows`` rows of ``labels`` (id, 0 or 1) that have a text.
-
-    Rows with a null id or label, or another label, are left out; of labels that repeat an id the largest
-    counts.  Without both labels every text scores the same: the share of toxic training texts.
-    """
-    known = (
-        labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
-        .filter("id IS NOT NULL AND toxic IN (0, 1)")
-        .groupBy("id")
-        .agg(F.max("toxic").alias("toxic"))
-    )
-    # Bounded by training_rows, and so broadcast.
-    chosen_rows = known.orderBy(F.xxhash64("id"), "id").limit(training_rows)
-    texts = stored(
-        docs.select(F.col(f"`{id_col}`").alias("id"), text_of(F.col(f"`{text_col}`")).alias("text"))
-        .join(F.broadcast(chosen_rows), "id")
-        .select("text", "toxic"),
-        "training",
-    )
-    totals = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    share = (toxic + 0.5) / (toxic + clean + 1)
-    nothing = Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    if not toxic or not clean:
-        return nothing
-
-    counts = texts.mapInArrow(_count, "bucket bigint, toxic bigint, clean bigint")
-    sums = counts.groupBy("bucket").agg(F.sum("toxic").alias("p"), F.sum("clean").alias("q"))
-    p, q = F.col("p") + 0.5, F.col("q") + 0.5
-    ratio = F.log(p / (toxic + 1)) - F.log(q / (clean + 1))
-    sure = F.abs(ratio) / F.sqrt(1 / p + 1 / q)
-    best = (
-        sums.filter(F.col("p") + F.col("q") > 1)
-        .select("bucket", ratio.alias("ratio"), sure.alias("sure"))
-        .orderBy(F.desc("sure"), "bucket")
-        .limit(FEATURES)
-        .collect()
-    )
-    buckets_chosen = np.array([r["bucket"] for r in best], np.int64)
-    ratios = np.array([r["ratio"] for r in best])
-    if not len(best):
-        return nothing
-    rows = texts.mapInArrow(
-        lambda x: _features(x, buckets_chosen), "toxic int, features array<int>"
-    ).collect()
-    wanted = np.array([r["toxic"] for r in rows], float)
-    sizes = np.array([len(r["features"]) for r in rows])
-    features = np.fromiter((i for r in rows for i in r["features"]), np.int64, int(sizes.sum()))
-    weights, constant = _logistic(features, sizes, wanted, ratios, nothing.constant)
-    return Model(buckets_chosen, weights * ratios, constant)
-
-
-def _logistic(features, sizes, wanted, scale, constant, strength: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights by accelerated gradient steps on the mean log loss with a small quadratic penalty."""
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    values = scale[features]
-    weights = np.ones(len(scale)) * 0.01
-    # The mean square of a row bounds the curvature.
-    step = 4 / (np.bincount(row, values**2, len(sizes)).max() + 1)
-    ahead, bias, bias_ahead, t = weights.copy(), constant, constant, 1.0
-    for _ in range(ROUNDS):
-        sums = np.bincount(row, values * ahead[features], len(sizes)) + bias_ahead
-        off = (1 / (1 + np.exp(-np.clip(sums, -500, 500))) - wanted) / len(wanted)
-        slope = np.bincount(features, values * off[row], len(scale)) + strength * ahead
-        new, new_bias = ahead - step * len(wanted) ** 0 * slope, bias_ahead - step * off.sum()
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead = new + (t - 1) / t_new * (new - weights)
-        bias_ahead = new_bias + (t - 1) / t_new * (new_bias - bias)
-        weights, bias, t = new, new_bias, t_new
-    return weights, float(bias)
-
-
 def score(text: str | Column, model: Model) -> Column:
     """The score of a text column, 0 to 1; a null text is an empty one."""
 
