@@ -8,7 +8,7 @@ from itertools import chain
 import numpy as np
 
 #: Bounds of a cache in one Python worker; a full cache starts anew.
-MAX_PIECES = 300_000
+MAX_PIECES = 400_000
 MAX_CHARS = 8_000_000
 #: Characters of text cut into pieces at once.
 CHUNK_CHARS = 1_000_000
@@ -20,19 +20,19 @@ Encoded = tuple[np.ndarray, np.ndarray]
 class PieceCache:
     """Ids of pieces already met; ``encode`` turns a list of new pieces into ids."""
 
-    def __init__(self, encode: Callable[[list[str]], Encoded]):
+    def __init__(self, encode: Callable[[list], Encoded]):
         self._encode = encode
         self._clear()
 
     def _clear(self) -> None:
-        self._code: dict[str, int] = {}
+        self._code: dict[str | bytes, int] = {}
         self._chars = 0
         self._flat = np.zeros(1 << 16, np.int32)
         self._start = np.zeros(1 << 16, np.int64)
         self._size = np.zeros(1 << 16, np.int32)
         self._used = 0
 
-    def _add(self, pieces: list[str]) -> None:
+    def _add(self, pieces: list) -> None:
         ids, sizes = self._encode(pieces)
         first, last = len(self._code), len(self._code) + len(pieces)
         self._flat = _room(self._flat, self._used + len(ids))
@@ -44,8 +44,8 @@ class PieceCache:
         self._chars += sum(map(len, pieces))
         self._code.update(zip(pieces, range(first, last)))
 
-    def ids(self, texts: list[list[str]]) -> Encoded:
-        """Ids of texts that are given as lists of pieces."""
+    def ids(self, texts: list[list]) -> Encoded:
+        """Ids of texts that are given as lists of pieces (str or bytes)."""
         # The cache holds what the bounds allow and, beyond them, the pieces of one call.
         if len(self._code) > MAX_PIECES or self._chars > MAX_CHARS:
             self._clear()

@@ -16,13 +16,14 @@ one small frame to read; the dictionary makes up for what a small frame can't le
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,12 +39,17 @@ DICTIONARY_BYTES = 64 * 1024
 #: A block is closed when its frames reach this size.
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
+#: Words in one call of the library.
+GROUP = 64
 
 BLOCKS = (
     "shard int, block int, first_id bigint, last_id bigint, tokens bigint, doc_ids array<bigint>, "
     "n_tokens array<bigint>, ends array<bigint>, payload binary, dictionary_hash string"
 )
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+
+
+#: Words whose normal form keeps every character's kind: ASCII and the letters of Latin-1.
+_PLAIN = regex.compile("[\\x00-\\x7F\\xC0-\\xD6\\xD8-\\xF6\\xF8-\\xFF]*").fullmatch
 
 
 class WordTokenizer:
@@ -59,17 +65,62 @@ class WordTokenizer:
         self._library.no_truncation()
         self._library.no_padding()
         self.width = 2 if self._library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
+        self._is_end, self._cut = self._word_ends(path)
         self._cache = PieceCache(self._encode_words)
 
-    def _encode_words(self, words: list[str]) -> Encoded:
-        found = [x.ids for x in self._library.encode_batch(words, add_special_tokens=False)]
+    @staticmethod
+    def _word_ends(path: str):
+        """Which tokens end a part of a word, and the pattern that cuts words into parts, if there are any."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        suffix = spec["model"].get("end_of_word_suffix")
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        patterns = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split" and "Regex" in x["pattern"]]
+        if not suffix or len(patterns) != 1:
+            return None, None
+        vocab = spec["model"]["vocab"]
+        is_end = np.zeros(max(vocab.values()) + 1, bool)
+        is_end[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return is_end, regex.compile(patterns[0]).findall
+
+    def _encode_words(self, words: list[bytes]) -> Encoded:
+        """Plain words go in groups, as a call costs more than a word; the others one by one."""
+        texts = [w.decode() for w in words]
+        plain = np.array([bool(_PLAIN(x)) and not any(s in x for s in self._special) for x in texts])
+        if self._is_end is None or not plain.any():
+            return self._one_by_one(words)
+        texts = [x for x, p in zip(texts, plain) if p]
+        parts = np.array([len(self._cut(x.lower())) for x in texts])
+        groups = [" ".join(texts[at : at + GROUP]) for at in range(0, len(texts), GROUP)]
+        ids = np.concatenate(
+            [np.array(x.ids, np.int64) for x in self._library.encode_batch(groups, add_special_tokens=False)]
+        )
+        # Every part of a word ends in a token of its own kind.
+        ends = np.flatnonzero(self._is_end[ids])
+        if len(ends) != parts.sum() or not parts.all():
+            return self._one_by_one(words)
+        last = ends[np.cumsum(parts) - 1]
+        sizes = np.zeros(len(words), np.int64)
+        sizes[plain] = np.diff(np.concatenate([[-1], last]))
+        others, other_sizes = self._one_by_one([w for w, p in zip(words, plain) if not p])
+        sizes[~plain] = other_sizes
+        out = np.empty(int(sizes.sum()), np.int64)
+        from_plain = np.repeat(plain, sizes)
+        out[from_plain], out[~from_plain] = ids, others
+        return out, sizes
+
+    def _one_by_one(self, words: list[bytes]) -> Encoded:
+        texts = [w.decode() for w in words]
+        found = [x.ids for x in self._library.encode_batch(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.int64, int(sizes.sum())), sizes
+        return np.array([i for x in found for i in x], np.int64), sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         for part in chunks(texts):
-            ids, sizes = self._cache.ids([[w for w in _SPACE.split(x) if w] for x in part])
+            # bytes.split() splits at ASCII white space and nowhere else.
+            ids, sizes = self._cache.ids([x.encode().split() for x in part])
             out += np.split(ids, np.cumsum(sizes)[:-1])
         return out
 
@@ -103,9 +154,11 @@ def write_token_files(
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(F.col(f"`{text_col}`")).alias("text"))
 
+    # First the ids alone: the driver sees long texts only of the documents chosen.
+    ids = [r[0] for r in rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
     chosen = (
-        rows.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+        rows.filter(F.col("doc_id").isin(ids))
+        .select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .limit(SAMPLE_DOCS)
         .collect()
     )
