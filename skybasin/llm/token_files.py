@@ -39,7 +39,7 @@ DICTIONARY_BYTES = 64 * 1024
 #: A block is closed when its frames reach this size.
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
-#: Words in one call of the library.
+#: Parts of words in one text for the library.
 GROUP = 64
 
 BLOCKS = (
@@ -68,6 +68,7 @@ class WordTokenizer:
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._is_end, self._cut = self._word_ends(path)
         self._cache = PieceCache(self._encode_words)
+        self._parts = PieceCache(self._encode_parts)
 
     @staticmethod
     def _word_ends(path: str):
@@ -85,33 +86,31 @@ class WordTokenizer:
         return is_end, regex.compile(patterns[0]).findall
 
     def _encode_words(self, words: list[bytes]) -> Encoded:
-        """Plain words go in groups, as a call costs more than a word; the others one by one."""
+        """Plain words by way of their parts, the others one by one."""
         texts = [w.decode() for w in words]
         plain = np.array([bool(_PLAIN(x)) and not any(s in x for s in self._special) for x in texts])
         if self._is_end is None or not plain.any():
-            return self._one_by_one(words)
-        texts = [x for x, p in zip(texts, plain) if p]
-        parts = np.array([len(self._cut(x.lower())) for x in texts])
-        groups = [" ".join(texts[at : at + GROUP]) for at in range(0, len(texts), GROUP)]
-        ids = np.concatenate(
-            [np.array(x.ids, np.int64) for x in self._library.encode_batch(groups, add_special_tokens=False)]
-        )
-        # Every part of a word ends in a token of its own kind.
-        ends = np.flatnonzero(self._is_end[ids])
-        if len(ends) != parts.sum() or not parts.all():
-            return self._one_by_one(words)
-        last = ends[np.cumsum(parts) - 1]
+            return self._one_by_one(texts)
+        ids, own = self._parts.ids([self._cut(x.lower()) for x, p in zip(texts, plain) if p])
+        others, other_sizes = self._one_by_one([x for x, p in zip(texts, plain) if not p])
         sizes = np.zeros(len(words), np.int64)
-        sizes[plain] = np.diff(np.concatenate([[-1], last]))
-        others, other_sizes = self._one_by_one([w for w, p in zip(words, plain) if not p])
-        sizes[~plain] = other_sizes
+        sizes[plain], sizes[~plain] = own, other_sizes
         out = np.empty(int(sizes.sum()), np.int64)
         from_plain = np.repeat(plain, sizes)
         out[from_plain], out[~from_plain] = ids, others
         return out, sizes
 
-    def _one_by_one(self, words: list[bytes]) -> Encoded:
-        texts = [w.decode() for w in words]
+    def _encode_parts(self, parts: list[str]) -> Encoded:
+        """Many parts in one call, which costs more than a part; each ends in a token of a kind of its own."""
+        groups = [" ".join(parts[at : at + GROUP]) for at in range(0, len(parts), GROUP)]
+        found = self._library.encode_batch(groups, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, np.int64) for x in found])
+        ends = np.flatnonzero(self._is_end[ids])
+        if len(ends) != len(parts):
+            return self._one_by_one(parts)
+        return ids, np.diff(np.concatenate([[-1], ends]))
+
+    def _one_by_one(self, texts: list[str]) -> Encoded:
         found = [x.ids for x in self._library.encode_batch(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.array([i for x in found for i in x], np.int64), sizes
