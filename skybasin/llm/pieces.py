@@ -53,8 +53,7 @@ class PieceCache:
         if missing:
             self._add(sorted(missing))
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        code = self._code
-        codes = np.fromiter((code[p] for p in chain.from_iterable(texts)), np.int64, int(counts.sum()))
+        codes = np.fromiter(map(self._code.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
         sizes = self._size[codes].astype(np.int64)
         ends = np.cumsum(sizes)
         places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._start[codes] - ends + sizes, sizes)
