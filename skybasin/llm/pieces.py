@@ -20,8 +20,8 @@ Encoded = tuple[np.ndarray, np.ndarray]
 class PieceCache:
     """Ids of pieces already met; ``encode`` turns a list of new pieces into ids."""
 
-    def __init__(self, encode: Callable[[list], Encoded]):
-        self._encode = encode
+    def __init__(self, encode: Callable[[list], Encoded], most: int = MAX_PIECES):
+        self._encode, self._most = encode, most
         self._clear()
 
     def _clear(self) -> None:
@@ -44,21 +44,29 @@ class PieceCache:
         self._chars += sum(map(len, pieces))
         self._code.update(zip(pieces, range(first, last)))
 
-    def ids(self, texts: list[list]) -> Encoded:
-        """Ids of texts that are given as lists of pieces (str or bytes)."""
+    def codes(self, pieces: list) -> np.ndarray:
+        """A number for each piece; new pieces are encoded.  It holds until the next call."""
         # The cache holds what the bounds allow and, beyond them, the pieces of one call.
-        if len(self._code) > MAX_PIECES or self._chars > MAX_CHARS:
+        if len(self._code) > self._most or self._chars > MAX_CHARS:
             self._clear()
-        missing = set(chain.from_iterable(texts)).difference(self._code)
+        missing = set(pieces).difference(self._code)
         if missing:
-            self._add(sorted(missing))
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        codes = np.fromiter(map(self._code.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
+            self._add(list(missing))
+        return np.fromiter(map(self._code.__getitem__, pieces), np.int64, len(pieces))
+
+    def of(self, codes: np.ndarray) -> Encoded:
+        """Ids of the pieces with these numbers, and how many each has."""
         sizes = self._size[codes].astype(np.int64)
         ends = np.cumsum(sizes)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._start[codes] - ends + sizes, sizes)
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self._flat[places], np.diff(edges)
+        shift = np.repeat(self._start[codes] - ends + sizes, sizes)
+        return self._flat[np.arange(len(shift)) + shift], sizes
+
+    def ids(self, texts: list[list]) -> Encoded:
+        """Ids of texts that are given as lists of pieces (str or bytes), and how many each has."""
+        ids, sizes = self.of(self.codes(list(chain.from_iterable(texts))))
+        counts = np.fromiter(map(len, texts), np.int64, len(texts))
+        edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(edges)
 
 
 def _room(array: np.ndarray, wanted: int) -> np.ndarray:

@@ -38,7 +38,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 500, 8_000
 DICTIONARY_BYTES = 64 * 1024
 #: A block is closed when its frames reach this size.
 BLOCK_BYTES = 1 << 20
-LEVEL = 3
+LEVEL = 1
+MAX_WORDS = 700_000
 #: Parts of words in one text for the library.
 GROUP = 64
 
@@ -67,7 +68,9 @@ class WordTokenizer:
         self.width = 2 if self._library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._is_end, self._cut = self._word_ends(path)
-        self._cache = PieceCache(self._encode_words)
+        self._special_bytes = [s.lower().encode() for s in self._special]
+        self._lowers = self._library.normalizer is not None and self._library.normalizer.normalize_str("AZ") == "az"
+        self._cache = PieceCache(self._encode_words, MAX_WORDS)
         self._parts = PieceCache(self._encode_parts)
 
     @staticmethod
@@ -83,27 +86,45 @@ class WordTokenizer:
         vocab = spec["model"]["vocab"]
         is_end = np.zeros(max(vocab.values()) + 1, bool)
         is_end[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-        return is_end, regex.compile(patterns[0]).findall
+        return is_end, regex.compile(f"{patterns[0]}| ").findall
 
     def _encode_words(self, words: list[bytes]) -> Encoded:
-        """Plain words by way of their parts, the others one by one."""
-        texts = [w.decode() for w in words]
-        plain = np.array([bool(_PLAIN(x)) and not any(s in x for s in self._special) for x in texts])
-        if self._is_end is None or not plain.any():
-            return self._one_by_one(texts)
-        ids, own = self._parts.ids([self._cut(x.lower()) for x, p in zip(texts, plain) if p])
-        others, other_sizes = self._one_by_one([x for x, p in zip(texts, plain) if not p])
-        sizes = np.zeros(len(words), np.int64)
-        sizes[plain], sizes[~plain] = own, other_sizes
-        out = np.empty(int(sizes.sum()), np.int64)
-        from_plain = np.repeat(plain, sizes)
-        out[from_plain], out[~from_plain] = ids, others
-        return out, sizes
+        """Plain words by way of their parts, cut in one go; the others one by one."""
+        joined = b" ".join(words).decode()
+        if self._is_end is None or any(s in joined for s in self._special):
+            return self._one_by_one([w.decode() for w in words])
+        if not _PLAIN(joined):
+            texts = joined.split(" ")
+            plain = np.array([bool(_PLAIN(x)) for x in texts])
+            others, other_sizes = self._one_by_one([x for x, p in zip(texts, plain) if not p])
+            ids, own = self._by_parts(" ".join([x for x, p in zip(texts, plain) if p]))
+            sizes = np.zeros(len(words), np.int64)
+            sizes[plain], sizes[~plain] = own, other_sizes
+            out = np.empty(int(sizes.sum()), np.int64)
+            from_plain = np.repeat(plain, sizes)
+            out[from_plain], out[~from_plain] = ids, others
+            return out, sizes
+        return self._by_parts(joined)
+
+    def _by_parts(self, joined: str) -> Encoded:
+        """Words that a blank separates: a blank is a part without ids that ends a word."""
+        if not joined:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts = self._cut(joined.lower())
+        ids, sizes = self._parts.of(self._parts.codes(parts))
+        blank = np.fromiter((x == " " for x in parts), bool, len(parts))
+        ends = np.concatenate([np.flatnonzero(blank), [len(parts)]])
+        return ids, np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(sizes)])[ends]]))
 
     def _encode_parts(self, parts: list[str]) -> Encoded:
         """Many parts in one call, which costs more than a part; each ends in a token of a kind of its own."""
+        if " " in parts:
+            ids, sizes = self._encode_parts([x for x in parts if x != " "])
+            return ids, np.insert(sizes, parts.index(" "), 0)
         groups = [" ".join(parts[at : at + GROUP]) for at in range(0, len(parts), GROUP)]
         found = self._library.encode_batch(groups, add_special_tokens=False)
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         ids = np.concatenate([np.array(x.ids, np.int64) for x in found])
         ends = np.flatnonzero(self._is_end[ids])
         if len(ends) != len(parts):
@@ -115,11 +136,19 @@ class WordTokenizer:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.array([i for x in found for i in x], np.int64), sizes
 
+    def _lower(self, text: str) -> bytes:
+        """A to Z as a to z, which the normaliser does anyway, unless that would make a special token."""
+        raw = text.encode()
+        if not self._lowers:
+            return raw
+        low = raw.lower()
+        return raw if any(s in low for s in self._special_bytes) else low
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         for part in chunks(texts):
             # bytes.split() splits at ASCII white space and nowhere else.
-            ids, sizes = self._cache.ids([x.encode().split() for x in part])
+            ids, sizes = self._cache.ids([self._lower(x).split() for x in part])
             out += np.split(ids, np.cumsum(sizes)[:-1])
         return out
 
