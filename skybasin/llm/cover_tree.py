@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 DATA_BLOCK, QUERY_BLOCK = 4096, 2048
 #: A node of at most this many points is a leaf.
 LEAF = 32
+#: Leaves of the data compared in one pass.
+COLUMNS = 512
 SCALE = 256
 #: Below this all sums of products are exact in double precision.
 _EXACT = float(1 << 53)
@@ -111,39 +113,43 @@ class Search:
         return top + 1e-6 + 1e-9 * np.abs(top)  # room for rounding
 
     def run(self) -> None:
-        pending = [(build(self.queries), build(self.data), np.inf)]
+        """Walk both trees; a step takes some nodes of either side and all pairs between them."""
+        pending = [([build(self.queries)], [build(self.data)])]
         while pending:
-            q, r, bound = pending.pop()
-            if bound < self.worst[q.rows].min():
-                continue
-            # Leaves and nodes whose children are single points are compared at once.
-            if not q.children and not r.children:
-                self.compare(q.rows, r.rows)
-                continue
-            if _flat(q) and _flat(r):
-                self.compare_flat(q, r)
-                continue
-            below_q, below_r = q.children or [q], r.children or [r]
-            bounds = self.bounds(below_q, below_r)
-            floor = np.array([self.worst[n.rows].min() for n in below_q])
-            left, right = np.nonzero(bounds >= floor[:, None])
-            order = np.argsort(bounds[left, right])
-            pending += [
-                (below_q[i], below_r[j], bounds[i, j]) for i, j in zip(left[order], right[order])
-            ]
-
-    def compare_flat(self, q: Node, r: Node) -> None:
-        """Two nodes over small children: the bounds choose the columns that can matter."""
-        below_q, below_r = q.children or [q], r.children or [r]
-        bounds = self.bounds(below_q, below_r).max(axis=0)
-        order = np.argsort(-bounds)
-        step = 512
-        for at in range(0, len(order), step):
-            part = order[at : at + step]
-            part = part[bounds[part] >= self.worst[q.rows].min()]
-            if not len(part):
-                return
-            self.compare(q.rows, np.concatenate([below_r[i].rows for i in part]))
+            q, r = pending.pop()
+            bounds = self.bounds(q, r)
+            open_pairs = bounds >= np.array([self.worst[n.rows].min() for n in q])[:, None]
+            inner_q = np.array([bool(n.children) for n in q])
+            inner_r = np.array([bool(n.children) for n in r])
+            self.compare_leaves(
+                [n for n, inner in zip(q, inner_q) if not inner],
+                [n for n, inner in zip(r, inner_r) if not inner],
+                bounds[np.ix_(~inner_q, ~inner_r)],
+            )
+            # The last one pushed is taken first: that of the best bound.
+            todo = []
+            for j in np.flatnonzero(inner_r):
+                who = np.flatnonzero(open_pairs[:, j] & ~inner_q)
+                if len(who):
+                    todo.append((bounds[who, j].max(), [q[i] for i in who], r[j].children))
+            for i in np.flatnonzero(inner_q):
+                which = np.flatnonzero(open_pairs[i])
+                if len(which):
+                    todo.append((bounds[i, which].max(), q[i].children, [r[j] for j in which]))
+            pending += [(x, y) for _, x, y in sorted(todo, key=lambda t: t[0])]
+
+    def compare_leaves(self, q: list[Node], r: list[Node], bounds: np.ndarray) -> None:
+        """All open pairs of leaves, those of the best bounds first; a pass takes some columns."""
+        if not q or not r:
+            return
+        rows = np.concatenate([n.rows for n in q])
+        of_row = np.repeat(np.arange(len(q)), [len(n.rows) for n in q])
+        order = np.argsort(-bounds.max(axis=0))
+        for at in range(0, len(order), COLUMNS):
+            part = order[at : at + COLUMNS]
+            can = (bounds[:, part].max(axis=1)[of_row]) >= self.worst[rows]
+            if can.any():
+                self.compare(rows[can], np.concatenate([r[j].rows for j in part]))
 
     def compare(self, q: np.ndarray, r: np.ndarray) -> None:
         found = self.scores(q, r)
@@ -165,10 +171,6 @@ class Search:
         return pd.DataFrame({"query_id": query, "vec_id": self.best_ids[real], "score": np.array(scores, np.int64)})
 
 
-def _flat(node: Node) -> bool:
-    return all(not c.children for c in node.children)
-
-
 def _slow_top(scores, names, k: int) -> list[int]:
     return sorted(range(len(names)), key=lambda i: (-scores[i], names[i]))[:k]
 
