@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, cover_tree, exact_dedup, minhash, mixing, oracle, repeats, token_files, toxicity
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, minhash, mixing, oracle, repeats, token_files, toxicity
 from skybasin.llm.common import drop_at_exit, table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -25,6 +25,33 @@ def register(sql: str | None = None):
     return add
 
 
+def damaged(pages: DataFrame) -> DataFrame:
+    """A second replica: by the digest of its address a page is lost, cut short or changed, or has a twin."""
+    die = F.conv(F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 4), 16, 10).cast("int") % 400
+    body = F.coalesce("html", F.lit(""))
+    replica = pages.select(
+        "page_id",
+        "url",
+        F.when(die == 1, F.expr("left(coalesce(html, ''), 100)"))
+        .when(die == 2, F.concat(body, F.lit("\n")))
+        .otherwise(F.col("html"))
+        .alias("html"),
+    )
+    twins = pages.filter(die == 3).select((-1 - F.col("page_id")).alias("page_id"), "url", "html")
+    return replica.filter(die != 0).unionByName(twins)
+
+
+@register(oracle.FIXITY)
+def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+
+    def records(replica: DataFrame) -> DataFrame:
+        record = fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+        return replica.select(F.col("page_id").alias("number"), record.alias("record"))
+
+    return fixity.audit_records(records(pages), records(damaged(pages))).withColumnRenamed("node", "page_id")
+
+
 @register(oracle.CHAT)
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
