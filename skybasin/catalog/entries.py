@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skybasin import fixed_values as fv
 from skybasin.catalog import binding as b
 from skybasin.catalog import oracle as o
+from skybasin.functions.rounding import steady_avg
 from skybasin.operators import cleaning, gold, quality, watermarks
 from skybasin.operators.joining import join_sources, source_keys
 from skybasin.operators.latest import latest_rows
@@ -536,6 +537,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bi.average_pm25(_line(spark, sf_dir))
 
 
+# Values of more than six decimals, small and large, one of them beyond 1e12.
+_FINE = "CASE WHEN l_orderkey = 1 THEN 7e12 / 3e0 WHEN l_linenumber = 2 THEN 4e-7 ELSE l_quantity / 3e0 END"
+
+
+@register(
+    "avg_fine",
+    f"""SELECT l_linenumber, l_returnflag, round(favg({_FINE}) * 1e6, 1) AS millionths, count(*) AS n
+    FROM lineitem WHERE l_orderkey <> 1 GROUP BY l_linenumber, l_returnflag
+    UNION ALL SELECT NULL, 'large', round(favg({_FINE}), 1), count(*) FROM lineitem""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("x", F.expr(_FINE))
+    groups = lines.filter("l_orderkey <> 1").groupBy("l_linenumber", "l_returnflag")
+    every = lines.groupBy(F.lit(None).cast("int").alias("l_linenumber"), F.lit("large").alias("l_returnflag"))
+    count = F.count("*").alias("n")
+    return groups.agg(F.round(steady_avg(F.col("x")) * 1e6, 1).alias("millionths"), count).unionByName(
+        every.agg(F.round(steady_avg(F.col("x")), 1).alias("millionths"), count)
+    )
+
+
 @register(
     "latest_orders",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

@@ -11,8 +11,8 @@ from skybasin.catalog import binding as b
 
 
 def avg(x: str) -> str:
-    """Exact decimal sum, one division."""
-    return f"cast(sum(cast({x} AS decimal(18,6))) AS double) / nullif(count({x}), 0)"
+    """Sum to nine decimals, which a double of up to nine million still tells apart, and one division."""
+    return f"cast(sum(cast({x} AS decimal(28,9))) AS double) / nullif(count({x}), 0)"
 
 
 def half_even(x: str, places: int) -> str:

@@ -31,6 +31,13 @@ def latest_rows(df: DataFrame, keys: Sequence[str], newest: Sequence[str | Colum
     return ranked.filter(F.col(_RANK) <= 1).drop(_RANK)
 
 
+def earliest_rows(df: DataFrame, keys: Sequence[str], oldest: Sequence[str | Column]) -> DataFrame:
+    """One row per key: the first when sorted ascending by ``oldest``, nulls last."""
+    order = [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in oldest]
+    ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col(_RANK) <= 1).drop(_RANK)
+
+
 def latest_values(
     df: DataFrame,
     keys: Sequence[str],

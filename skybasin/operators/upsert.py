@@ -83,8 +83,16 @@ def insert_absent(incoming: DataFrame, stored: DataFrame, key: str, first: Seque
     rows are few, Spark broadcasts them and the stored table is not shuffled.  Both
     joins see every incoming key once, however often it is repeated.
     """
-    unique = latest_rows(incoming, [key], first)
-    wanted = incoming.select(F.col(key).alias("__wanted")).distinct()
-    known = stored.select(F.col(key).alias("__known"))
-    known = known.join(wanted, F.col("__known").eqNullSafe(F.col("__wanted")), "left_semi")
-    return unique.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
+    return absent(latest_rows(incoming, [key], first), stored, [key])
+
+
+def absent(unique: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``unique`` (one per key) whose key is not stored; null keys match each other."""
+    names = {key: f"__known_{key}" for key in keys}
+    known = stored.select(*(F.col(key).alias(name) for key, name in names.items()))
+    same = None
+    for key, name in names.items():
+        equal = F.col(key).eqNullSafe(F.col(name))
+        same = equal if same is None else same & equal
+    known = known.join(unique.select(*keys), same, "left_semi")
+    return unique.join(known, same, "left_anti")

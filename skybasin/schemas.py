@@ -17,6 +17,7 @@ _TYPES = {
     "string": T.StringType(),
     "double": T.DoubleType(),
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "boolean": T.BooleanType(),
     "array<string>": T.ArrayType(T.StringType()),
 }
@@ -30,7 +31,9 @@ def _schema(text: str) -> T.StructType:
 
 # Messages keep every value as the text that arrived, so a number that does not
 # parse reaches the cleaners (and the quarantine) instead of vanishing at decode.
-MESSAGE = _schema("topic string, key string, value string")
+# Where a message arrived; null where a source of messages does not say.
+ARRIVAL = _schema("partition int, offset bigint, timestamp string")
+MESSAGE = T.StructType(_schema("topic string, key string, value string").fields + ARRIVAL.fields)
 RAW = {
     "air_quality": _schema(
         "timestamp string, province string, pm25 string, pm10 string, unit string, "
@@ -132,7 +135,8 @@ TABLES: dict[str, Table] = {
             for s in fv.SOURCES
         ),
         Table("bronze_rejects", _schema(
-            "topic string, key string, value string, _ingested_at string"
+            "topic string, key string, value string, partition int, offset bigint, copy int, "
+            "_ingested_at string"
         ), (), "_ingested_at"),
         Table(fv.SILVER["air_quality"], SILVER["air_quality"],
               ("province", "hour_bucket"), "hour_bucket"),

@@ -1,16 +1,16 @@
 """Message envelopes (topic, key, value) and their sources and sinks.
 
 The same functions serve a Kafka topic and, where no broker is at hand, a folder
-of files with the columns ``topic``, ``key`` and ``value``.
+of files with the columns ``topic``, ``key`` and ``value``, and those of ``ARRIVAL`` if it has them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skybasin import fixed_values as fv
-from skybasin.schemas import EXTRA, MESSAGE, RAW
+from skybasin.schemas import ARRIVAL, EXTRA, MESSAGE, RAW
 
 
 def read_stream(
@@ -34,7 +34,12 @@ def read_stream(
             "startingOffsets", "earliest"
         )
         return reader.load().select(
-            "topic", F.col("key").cast("string"), F.col("value").cast("string")
+            "topic",
+            F.col("key").cast("string"),
+            F.col("value").cast("string"),
+            "partition",
+            "offset",
+            F.col("timestamp").cast("string"),
         )
     return reader.schema(MESSAGE).load(path)
 
@@ -58,21 +63,28 @@ def routed(messages: DataFrame) -> DataFrame:
     return messages.withColumn("source", F.try_element_at(route, F.col("topic")))
 
 
-def decode(messages: DataFrame, source: str) -> DataFrame:
-    """Messages with the fields of their JSON object as ``record``.
+def parsed(messages: DataFrame) -> DataFrame:
+    """Messages with the fields of their JSON object as the map ``fields``, null for anything else.
 
-    Values keep the text that arrived; fields that are not declared are gathered in
-    ``_extra``.  What is no JSON object has a null record.
+    Values keep the text that arrived.  The columns of ``ARRIVAL`` are null where they are missing.
     """
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in ARRIVAL if f.name not in messages.columns}
+    known = messages.withColumns(missing) if missing else messages
+    return known.withColumn("fields", F.from_json(F.col("value"), "map<string, string>"))
+
+
+def record(source: str) -> list[Column]:
+    """The declared columns of a source from ``fields``; what is not declared is gathered in ``_extra``."""
     names = RAW[source].fieldNames()
-    parsed = F.col("__parsed")
-    extra = F.map_filter(parsed, lambda name, _: ~name.isin(*names))
-    fields = F.struct(
-        *(F.try_element_at(parsed, F.lit(name)).alias(name) for name in names),
+    extra = F.map_filter("fields", lambda name, _: ~name.isin(*names))
+    return [
+        *(F.try_element_at("fields", F.lit(name)).alias(name) for name in names),
         F.when(F.size(extra) > 0, F.to_json(extra)).alias(EXTRA),
-    )
-    return (
-        messages.withColumn("__parsed", F.from_json(F.col("value"), "map<string, string>"))
-        .withColumn("record", F.when(parsed.isNotNull(), fields))
-        .drop("__parsed")
-    )
+    ]
+
+
+def decode(messages: DataFrame, source: str) -> DataFrame:
+    """Messages with the fields of their JSON object as ``record``; null for anything else."""
+    fields = F.struct(*record(source))
+    decoded = parsed(messages).withColumn("record", F.when(F.col("fields").isNotNull(), fields))
+    return decoded.select(*messages.columns, "record")

@@ -10,25 +10,27 @@ Duplicates are found on ``message_id`` alone, over everything stored so far:
   batch of every start is also looked up in the table, since only that one can
   be a repetition of a batch that was written before a failure.
 
-Both drop a batch that is run twice, so restarting from the checkpoint leaves
-every message stored once.
+Of the copies of a message the one that arrived first is stored.  Both modes give the same
+rows, rejects and counts, and both drop a batch that is run twice, so restarting from the
+checkpoint leaves every message and every reject stored once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skybasin import fixed_values as fv
-from skybasin.operators.latest import latest_rows
-from skybasin.operators.upsert import insert_absent
+from skybasin.operators.latest import earliest_rows
+from skybasin.operators.upsert import absent
 from skybasin.session import side_by_side
-from skybasin.sources.messages import decode, routed
+from skybasin.sources.messages import parsed, record, routed
 from skybasin.sources.tables import TableStore
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -48,67 +50,97 @@ def stamped(records: DataFrame, source: str, ingested_at: str) -> DataFrame:
     )
 
 
-def read_records(messages: DataFrame, source: str) -> DataFrame:
-    """The readable messages of one source as raw rows."""
-    mine = messages.filter(F.col("source") == source)
-    readable = decode(mine, source).filter(F.col("record").isNotNull())
-    return readable.select("record.*")
-
-
-def unreadable(messages: DataFrame) -> DataFrame:
-    """Messages of known topics that are no JSON object."""
-    parts = [
-        decode(messages.filter(F.col("source") == source), source)
-        .filter(F.col("record").isNull())
-        .select("topic", "key", "value")
-        for source in fv.SOURCES
-    ]
-    return parts[0].union(parts[1]).union(parts[2])
-
-
-def _any_copy(records: DataFrame) -> list:
-    """A fixed choice among the copies of one message inside a batch."""
-    return [F.struct(*records.columns)]
+#: The earliest copy of a message is the one that counts: by time, then by place in its partition.
+#: Copies that do not say when they arrived are told apart by their text.
+_ARRIVED = ["timestamp", "partition", "offset", "value"]
 
 
 def ingest_batch(
-    store: TableStore, batch: DataFrame, ingested_at: str, look_up: bool = True
+    store: TableStore,
+    batch: DataFrame,
+    ingested_at: str,
+    look_up: bool = True,
+    new_ids: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Store one micro-batch; returns total, written, duplicates and errors."""
-    messages = routed(batch).filter(F.col("source").isNotNull()).persist()
-
-    def store_source(source: str) -> int:
-        records = read_records(messages, source)
-        table = fv.BRONZE[source]
-        if look_up:
-            fresh = insert_absent(records, store.read(table), "message_id", _any_copy(records))
-        else:
-            fresh = latest_rows(records, ["message_id"], _any_copy(records))
-        return _append(store, table, stamped(fresh, source, ingested_at))
-
-    def store_rejects() -> int:
-        rejects = unreadable(messages).withColumn("_ingested_at", F.lit(ingested_at))
-        return _append(store, "bronze_rejects", rejects)
-
+    """Store one micro-batch; returns total, written, duplicates, errors and unmapped.
+
+    Every message is decoded once.  Counts come from grouped counts over the decoded rows, and a
+    table without new rows is not written, so no batch depends on what another branch holds.
+    ``new_ids`` (source, message_id), if given, are the ids not met before; ``look_up`` compares
+    with the stored tables.  Total counts messages of known topics.
+    """
+    kept = StorageLevel.MEMORY_AND_DISK
+    messages = parsed(routed(batch)).persist(kept)
+    fresh = rejects = None
     try:
-        total = messages.count()
-        errors, *written = side_by_side(
-            store.spark, [store_rejects, *(partial(store_source, s) for s in fv.SOURCES)]
+        state = F.when(F.col("source").isNull(), "unmapped").when(F.col("fields").isNull(), "errors")
+        counts = {
+            r["state"]: r["count"]
+            for r in messages.groupBy(state.otherwise("records").alias("state")).count().collect()
+        }
+        readable = messages.filter("source IS NOT NULL AND fields IS NOT NULL").withColumn(
+            "message_id", F.try_element_at("fields", F.lit("message_id"))
         )
+        if new_ids is not None:
+            same = readable["source"].eqNullSafe(new_ids["source"]) & readable["message_id"].eqNullSafe(
+                new_ids["message_id"]
+            )
+            readable = readable.join(new_ids, same, "left_semi")
+        fresh = _absent(store, readable, look_up).persist(kept)
+        rejects = _new_rejects(store, messages, ingested_at).persist(kept)
+        written = {r["source"]: r["count"] for r in fresh.groupBy("source").count().collect()}
+
+        def write(source: str) -> None:
+            rows = fresh.filter(F.col("source") == source).select(*record(source))
+            store.append(fv.BRONZE[source], stamped(rows, source, ingested_at))
+
+        jobs = [partial(write, source) for source in written]
+        if counts.get("errors") and not rejects.isEmpty():
+            jobs.append(lambda: store.append("bronze_rejects", rejects))
+        if jobs:
+            side_by_side(store.spark, jobs)
     finally:
-        messages.unpersist()
+        for frame in (messages, fresh, rejects):
+            if frame is not None:
+                frame.unpersist()
+    stored = sum(written.values())
     return {
-        "total": total,
-        "written": sum(written),
-        "duplicates": total - sum(written) - errors,
-        "errors": errors,
+        "total": counts.get("records", 0) + counts.get("errors", 0),
+        "written": stored,
+        "duplicates": counts.get("records", 0) - stored,
+        "errors": counts.get("errors", 0),
+        "unmapped": counts.get("unmapped", 0),
     }
 
 
-def _append(store: TableStore, name: str, rows: DataFrame) -> int:
-    seen = Observation()
-    store.append(name, rows.observe(seen, F.count(F.lit(1)).alias("n")))
-    return seen.get["n"]
+def _absent(store: TableStore, readable: DataFrame, look_up: bool) -> DataFrame:
+    """The earliest copy of each message of a source that is not stored yet."""
+    first = earliest_rows(readable, ["source", "message_id"], _ARRIVED)
+    if not look_up:
+        return first
+    known = [
+        store.read(fv.BRONZE[source]).select(F.lit(source).alias("source"), "message_id") for source in fv.SOURCES
+    ]
+    return absent(first, reduce(DataFrame.union, known), ["source", "message_id"])
+
+
+def _new_rejects(store: TableStore, messages: DataFrame, ingested_at: str) -> DataFrame:
+    """Messages of known topics that are no JSON object and are not stored yet.
+
+    Their place in the topic is their identity.  Without one it is their text, and the number of
+    that copy among those of the batch.
+    """
+    text = ["topic", "key", "value"]
+    place = ["partition", "offset"]
+    alike = Window.partitionBy(*text, *place).orderBy(F.lit(1))
+    broken = messages.filter("source IS NOT NULL AND fields IS NULL").select(
+        *text, *place, F.row_number().over(alike).alias("copy")
+    )
+    # A place that is repeated within a batch is one message.
+    broken = broken.filter("offset IS NULL OR copy = 1")
+    return absent(broken, store.read("bronze_rejects"), [*text, *place, "copy"]).withColumn(
+        "_ingested_at", F.lit(ingested_at)
+    )
 
 
 def start_ingest(
@@ -127,12 +159,15 @@ def start_ingest(
     by_state = dedup == "state"
     if by_state:
         store.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        messages = _drop_repeated(messages)
+        messages = _with_new_ids(messages)
     started = {"first": True}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        look_up = started["first"] or not by_state
-        counts = ingest_batch(store, batch, clock(), look_up)
+        new_ids = None
+        if by_state:
+            new_ids = batch.filter(_NEW).select("source", F.col("key").alias("message_id"))
+            batch = batch.filter(~F.col(_NEW)).drop(_NEW, "source")
+        counts = ingest_batch(store, batch, clock(), started["first"] or not by_state, new_ids)
         started["first"] = False
         if on_batch:
             on_batch(batch_id, counts)
@@ -143,13 +178,20 @@ def start_ingest(
     return writer.trigger(**trigger).start()
 
 
-def _drop_repeated(messages: DataFrame) -> DataFrame:
-    """One message per topic and id; what has no id is told apart by its text."""
-    message_id = F.get_json_object("value", "$.message_id")
-    is_object = F.get_json_object("value", "$").startswith("{")
-    return (
-        messages.withColumn("__id", message_id)
-        .withColumn("__text", F.when(~F.coalesce(is_object, F.lit(False)), F.col("value")))
-        .dropDuplicates(["topic", "__id", "__text"])
-        .drop("__id", "__text")
+_NEW = "__new_id"
+
+
+def _with_new_ids(messages: DataFrame) -> DataFrame:
+    """All messages, and beside them a row for each id that the state has not met (id as ``key``).
+
+    Only ids of readable messages are remembered; the messages themselves pass unchanged, so that
+    counts, rejects and the choice of the earliest copy see all of them.
+    """
+    known = routed(parsed(messages))
+    ids = (
+        known.filter("source IS NOT NULL AND fields IS NOT NULL")
+        .select("source", F.try_element_at("fields", F.lit("message_id")).alias("key"))
+        .dropDuplicates(["source", "key"])
+        .withColumn(_NEW, F.lit(True))
     )
+    return known.drop("fields").withColumn(_NEW, F.lit(False)).unionByName(ids, allowMissingColumns=True)

@@ -14,9 +14,8 @@ def spark():
 
     session = local_session("8")
     session.sparkContext.setLogLevel("ERROR")
-    # Small fixtures: fewer partitions and no re-planning keep the tests short.
+    # Small fixtures: fewer partitions keep the tests short.
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    session.conf.set("spark.sql.adaptive.enabled", "false")
     yield session
     session.stop()
 

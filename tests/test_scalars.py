@@ -26,7 +26,8 @@ def test_rounding_equals_python(spark, places):
     values += [n / 1000 for n in range(0, 40000, 5)]
     values += [n / 8 for n in range(-2000, 2000)]
     values += [draw.uniform(-500, 500) for _ in range(20000)]
-    values += [draw.uniform(-1, 1) * 10 ** draw.randint(-8, 10) for _ in range(5000)]
+    values += [draw.uniform(-1, 1) * 10 ** draw.randint(-8, 17) for _ in range(8000)]
+    values += [12345678901234.567, -12345678901234.567, 1e13, 2.0**52 - 0.5, 2.0**52, 2.0**53 + 2]
     got = column(spark, values, "double", lambda x: rounding.half_even(x, places))
     assert [(v, g) for v, g in zip(values, got) if g != round(v, places)] == []
 
@@ -53,6 +54,13 @@ def test_average_does_not_depend_on_order(spark):
     assert found.pop() == pytest.approx(math.fsum(values) / len(values), rel=1e-15)
 
 
+@pytest.mark.parametrize(
+    "values", [[4e-7, 4e-7], [1 / 3, 1 / 3], [0.1234564, 0.1234564], [1 / 3, 1e15 / 7], [-2e12, 5.0, 1e-9]]
+)
+def test_average_keeps_every_digit(spark, values):
+    assert averages(spark, values, 1) == pytest.approx(math.fsum(values) / len(values), rel=1e-15)
+
+
 def test_average_of_odd_values(spark):
     assert averages(spark, [None, None], 1) is None
     assert averages(spark, [1.0, None, 2.0], 1) == 1.5
