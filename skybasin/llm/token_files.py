@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skybasin.llm.common import text_of
+from skybasin.llm.common import stored, text_of
 from skybasin.llm.pieces import Encoded, PieceCache, chunks
 
 #: The dictionary is trained on at most this many documents and characters of each.
@@ -258,9 +258,13 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: list[int] | None
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.select("shard", F.coalesce(F.sum("in_shard").over(before), F.lit(0)).alias("shard_start"))
     inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        "shard", "block", F.coalesce(F.sum("tokens").over(inside), F.lit(0)).alias("block_start")
-    ).join(shards, "shard")
+    # Stored, as Spark then knows how small it is and need not deal out the payloads to join it.
+    starts = stored(
+        counts.select("shard", "block", F.coalesce(F.sum("tokens").over(inside), F.lit(0)).alias("block_start"))
+        .join(shards, "shard")
+        .select("shard", "block", (F.col("shard_start") + F.col("block_start")).alias("start")),
+        "starts",
+    )
 
     wanted = None
     if doc_ids is not None:
@@ -298,9 +302,7 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: list[int] | None
                 yield _documents(out)
 
     chosen = ["doc_ids", "n_tokens", "ends", "payload", "dictionary_hash"]
-    placed = blocks.join(starts, ["shard", "block"]).select(
-        (F.col("shard_start") + F.col("block_start")).alias("start"), *chosen
-    )
+    placed = blocks.join(starts, ["shard", "block"]).select("start", *chosen)
     return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
