@@ -224,7 +224,8 @@ def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int =
         F.coalesce(F.col(f"`{names['id_col']}`").cast("bigint"), no_id).alias("id"),
     )
     whole_row = F.struct(F.lit(0).cast("bigint").alias("first"), F.col("size").alias("end"))
-    pieces = F.concat(F.array_repeat(whole_row, F.col("whole").cast("int")), F.col("parts"))
+    times = F.when(F.col("size") > 0, F.col("whole")).otherwise(0).cast("int")
+    pieces = F.concat(F.array_repeat(whole_row, times), F.col("parts"))
     # Rows alike in id and text share a place; each of them has its own pieces in the list.
     taken = (
         mix(docs, weights, seed=seed, **names)

