@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from skybasin import fixed_values as fv
 from skybasin.functions.text import strip, to_double
-from skybasin.functions.timestamps import hour_bucket
+from skybasin.functions.timestamps import bucket_day, hour_bucket, valid_date
 from skybasin.operators import quality
 from skybasin.sources import reference
 
-Cleaner = Callable[[DataFrame], DataFrame]
+#: (raw rows, run stamp, strict=False) -> the rows with ``_errors``.
+Cleaner = Callable[..., DataFrame]
 
 # Carried through so that the newest of several rows for one key can be told.
 INGESTED = "_ingested_at"
@@ -99,6 +100,19 @@ def quarantine(checked: DataFrame, source: str, run_ts: str) -> DataFrame:
     )
 
 
+def undated(checked: DataFrame, source: str, run_ts: str) -> DataFrame:
+    """Valid rows without a real day, as text: they are stored, but no day's join will hold them."""
+    day = bucket_day(F.col("hour_bucket")) if "hour_bucket" in checked.columns else F.col("date")
+    rows = quality.valid(checked)
+    rows = rows.filter(~F.coalesce(valid_date(day), F.lit(False)))
+    return rows.select(
+        F.lit(source).alias("source"),
+        F.to_json(F.struct(*rows.columns)).alias("record"),
+        F.array(F.lit("undated")).alias("errors"),
+        F.lit(run_ts).alias("_processed_at"),
+    )
+
+
 def cleaning_counts(checked: DataFrame, source: str) -> DataFrame:
     """Rows read, valid and dropped; one row, also for no input."""
     good = F.size(quality.ERRORS) == 0

@@ -6,7 +6,7 @@ it, every day the run touched is joined again, so late rows reach the fact table
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame
@@ -32,14 +32,15 @@ def bronze_to_silver(
     sources: Iterable[str] | None = None,
     as_of: str | None = None,
     strict: bool = False,
-) -> list[str] | None:
+    checks: Mapping[str, cleaning.Cleaner] = cleaning.CHECKS,
+) -> tuple[DataFrame, DataFrame]:
     """Clean what is new, upsert it, join the touched days, move the marks.
 
-    Returns those days, or None when they are too many to list (then all).
+    Returns those days and the metrics of the run (see ``run_flow``).
     """
-    days, next_marks = _to_silver(store, run_ts, sources, as_of, strict)
+    days, next_marks, metrics = _to_silver(store, run_ts, sources, as_of, strict, checks)
     store.upsert("watermarks", next_marks)
-    return days
+    return days, metrics
 
 
 def _to_silver(
@@ -48,40 +49,42 @@ def _to_silver(
     sources: Iterable[str] | None,
     as_of: str | None,
     strict: bool,
-) -> tuple[list[str] | None, DataFrame]:
+    checks: Mapping[str, cleaning.Cleaner],
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     sources = list(sources or fv.SOURCES)
     flow = watermarks.flow_name(sources)
     marks = store.read("watermarks")
 
-    def clean(source: str) -> tuple[list[str] | None, DataFrame, DataFrame]:
+    def clean(source: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         mark = watermarks.stored_mark(marks, flow, source)
         bronze = store.read_from_day(fv.BRONZE[source], mark and mark[:10])
-        fresh = cleaning.since(bronze, mark)
-        checked = cleaning.CHECKS[source](fresh, run_ts, strict=strict)
+        # Scanned and cleaned once; rows, rejects, counts and the mark come from here.
+        checked = checks[source](cleaning.since(bronze, mark), run_ts, strict=strict).checkpoint()
         table = fv.SILVER[source]
         cleaned = last_write(
             quality.valid(checked), TABLES[table].key, ["_ingested_at", "message_id"]
         )
+        days, changes = store.upsert_counted(table, cleaned)
         return (
-            store.upsert(table, cleaned),
-            cleaning.quarantine(checked, source, run_ts),
-            watermarks.next_mark(fresh, flow, source),
+            days,
+            cleaning.quarantine(checked, source, run_ts).union(cleaning.undated(checked, source, run_ts)),
+            watermarks.next_mark(checked, flow, source),
+            cleaning.cleaning_counts(checked, source).crossJoin(changes),
         )
 
     done = side_by_side(store.spark, [partial(clean, source) for source in sources])
-    listed, rejects, next_marks = zip(*done)
-    store.append("silver_rejects", reduce(DataFrame.union, rejects))
-    touched = None if None in listed else set().union(*listed)
+    touched, rejects, next_marks, metrics = (reduce(DataFrame.union, parts) for parts in zip(*done))
+    store.append("silver_rejects", rejects)
 
-    days = [as_of] if as_of else None if touched is None else sorted(touched)
-    if days != []:
+    days = store.day(as_of) if as_of else touched.distinct().checkpoint()
+    if not days.isEmpty():
         inputs = [store.read(fv.SILVER[source], days) for source in fv.SOURCES]
         store.upsert(fv.SILVER["joined"], join_sources(*inputs, run_ts=run_ts, as_of=as_of))
-    return days, reduce(DataFrame.union, next_marks)
+    return days, next_marks, metrics.checkpoint()
 
 
 def silver_to_gold(
-    store: TableStore, run_ts: str, days: list[str] | None = None
+    store: TableStore, run_ts: str, days: DataFrame | None = None
 ) -> None:
     """Score joined rows into the star schema: all days, or those given."""
     joined = store.read(fv.SILVER["joined"], days)
@@ -97,13 +100,22 @@ def silver_to_gold(
 
 
 def run_flow(
-    store: TableStore, run_ts: str, sources: Iterable[str], as_of: str | None = None
-) -> None:
-    """Raw to gold.  The marks move last: a run that broke off is simply run again."""
-    days, next_marks = _to_silver(store, run_ts, sources, as_of, strict=False)
-    if days != []:
+    store: TableStore,
+    run_ts: str,
+    sources: Iterable[str],
+    as_of: str | None = None,
+    checks: Mapping[str, cleaning.Cleaner] = cleaning.CHECKS,
+) -> DataFrame:
+    """Raw to gold.  The marks move last: a run that broke off is simply run again.
+
+    Returns one row per source: ``source, read, valid, dropped, inserted, modified`` (the last
+    two of its silver table).  ``checks`` gives the cleaner of each source.
+    """
+    days, next_marks, metrics = _to_silver(store, run_ts, sources, as_of, False, checks)
+    if not days.isEmpty():
         silver_to_gold(store, run_ts, days)
     store.upsert("watermarks", next_marks)
+    return metrics
 
 
 def hourly_flow(store: TableStore, run_ts: str, as_of: str | None = None) -> DataFrame:

@@ -6,23 +6,18 @@ names as ``day_from``, or ``undated``; the column itself keeps its text.
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skybasin.functions.timestamps import valid_date
 from skybasin.operators.quality import repeated_keys
-from skybasin.operators.upsert import CHANGE, upsert
+from skybasin.operators.upsert import CHANGE, change_counts, upsert
 from skybasin.schemas import TABLES, Table
 from skybasin.session import shared_dir
 
 DAY = "_date"
 UNDATED = "undated"
-# The list of days an upsert touches comes to the driver as a partition filter.
-# Beyond this many the whole table is read and rewritten instead.
-MAX_LISTED_DAYS = 5_000
 
 
 class TableStore:
@@ -42,15 +37,20 @@ class TableStore:
                 self.path(table.name)
             )
 
-    def read(self, name: str, days: Collection[str] | None = None) -> DataFrame:
-        """A table with its declared schema, of some days if given."""
+    def read(self, name: str, days: DataFrame | None = None) -> DataFrame:
+        """A table with its declared schema, of some days (see ``days_of``) if given.
+
+        The days are joined, which prunes the partitions when the query runs.  They are
+        broadcast: there are no more than the calendar has, however large the table is.
+        """
         table = TABLES[name]
         schema = table.schema
         if table.day_from:
             schema = T.StructType([*schema.fields, T.StructField(DAY, T.StringType())])
         df = self.spark.read.schema(schema).parquet(self.path(name))
         if days is not None:
-            df = df.filter(F.col(DAY).isin(*days))
+            # Spark prunes by a joined side that has a filter of its own.
+            df = df.join(F.broadcast(days.filter(F.col(DAY) >= "")), DAY, "left_semi")
         return df.drop(DAY)
 
     def read_from_day(self, name: str, day: str | None) -> DataFrame:
@@ -64,43 +64,50 @@ class TableStore:
         table = TABLES[name]
         self._writer(table, self._shaped(table, rows)).mode("append").parquet(self.path(name))
 
-    def days_of(self, name: str, rows: DataFrame) -> list[str] | None:
-        """The days some rows belong to, or None when they are too many to list."""
-        table = TABLES[name]
-        if not table.day_from:
-            return None
-        days = rows.select(_day(table).alias(DAY)).distinct().limit(MAX_LISTED_DAYS + 1).collect()
-        return None if len(days) > MAX_LISTED_DAYS else [row[DAY] for row in days]
+    def days_of(self, name: str, rows: DataFrame) -> DataFrame:
+        """The days some rows belong to, one per row in the column ``_date``."""
+        return rows.select(_day(TABLES[name]).alias(DAY)).distinct()
 
-    def upsert(self, name: str, updates: DataFrame) -> list[str] | None:
-        """Set updates (one per key) on a table; returns the days they belong to.
+    def day(self, day: str) -> DataFrame:
+        return self.spark.createDataFrame([(day,)], f"{DAY} string")
 
-        None stands for a table without days, or for more than can be listed.
+    def upsert(self, name: str, updates: DataFrame) -> DataFrame | None:
+        """Set updates (one per key) on a table; returns the days they belong to.
 
-        The updates are checkpointed once.  Only the partitions they touch are
-        read and replaced, and a partition is swapped in when all tasks are done,
-        so tasks that are lost and run again read unchanged files.
+        None stands for a table without days.  The updates are checkpointed once.  Only the
+        partitions they touch are read and replaced, and a partition is swapped in when all
+        tasks are done, so tasks that are lost and run again read unchanged files.
         """
+        return self.upsert_counted(name, updates, count=False)[0]
+
+    def upsert_counted(
+        self, name: str, updates: DataFrame, count: bool = True
+    ) -> tuple[DataFrame | None, DataFrame | None]:
+        """``upsert``, and how many rows it inserted and modified."""
         table = TABLES[name]
-        if not table.day_from:
-            # An unpartitioned table (a dimension, the marks) is replaced whole.
-            merged = upsert(self.read(name), updates, table.key).checkpoint()
-            self._writer(table, self._shaped(table, merged)).mode("overwrite").parquet(
-                self.path(name)
-            )
-            return None
         updates = updates.checkpoint()
-        days = self.days_of(name, updates)
-        if days != []:
-            merged = upsert(self.read(name, days), updates, table.key)
+        days = self.days_of(name, updates).checkpoint() if table.day_from else None
+        if days is not None and days.isEmpty():
+            return days, change_counts(updates.withColumn(CHANGE, F.lit("kept"))) if count else None
+        merged = upsert(self.read(name, days), updates, table.key, with_change=count)
+        counts = None
+        if count:
+            # Counted from what is written, so the tables are joined once.
+            merged = merged.checkpoint()
+            counts = change_counts(merged)
+        if days is None:
+            # An unpartitioned table (a dimension, the marks) is replaced whole.
+            merged = merged if count else merged.checkpoint()
+            self._writer(table, self._shaped(table, merged)).mode("overwrite").parquet(self.path(name))
+        else:
             self._writer(table, self._shaped(table, merged)).mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).parquet(self.path(name))
-        return days
+        return days, counts
 
     def changes(self, name: str, updates: DataFrame) -> DataFrame:
         """What ``upsert`` would do to each row, in the column ``_change``."""
-        days = self.days_of(name, updates)
+        days = self.days_of(name, updates) if TABLES[name].day_from else None
         changed = upsert(self.read(name, days), updates, TABLES[name].key, with_change=True)
         return changed.filter(F.col(CHANGE) != "kept")
 

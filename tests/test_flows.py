@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skybasin import fixed_values as fv
+from skybasin.operators import cleaning
 from skybasin.plans import flows
 from skybasin.schemas import RAW, TABLES
 from skybasin.sources import files
@@ -60,7 +61,7 @@ def test_stored_upsert_rewrites_only_touched_days(store):
     kept = f"{store.path(table)}/_date=2026-01-02"
     before = sorted(os.listdir(kept))
     days = store.upsert(table, rows(("A", "2026-01-01", "High"), ("D", "2026-01-01", "Medium"), ("C", "odd", "Low")))
-    assert sorted(days) == ["2026-01-01", "undated"]
+    assert sorted(r._date for r in days.collect()) == ["2026-01-01", "undated"]
     assert sorted(os.listdir(kept)) == before
     got = sorted((r.province, r.date, r.flood_risk) for r in store.read(table).collect())
     assert got == [("A", "2026-01-01", "High"), ("B", "2026-01-02", "Low"), ("C", "odd", "Low"),
@@ -70,17 +71,13 @@ def test_stored_upsert_rewrites_only_touched_days(store):
     assert sorted((r.province, r._change) for r in change.collect()) == [("A", "matched"), ("E", "inserted")]
 
 
-def test_too_many_days_to_list(store, monkeypatch):
-    monkeypatch.setattr("skybasin.sources.tables.MAX_LISTED_DAYS", 2)
-    def rows(risk, *days):
-        items = [("A", day, risk) for day in days]
-        return store.spark.createDataFrame(items, "province string, date string, flood_risk string")
-
-    days = [f"2026-01-0{n}" for n in range(1, 6)]
-    assert store.upsert(fv.SILVER["flood"], rows("Low", *days)) is None
-    assert store.upsert(fv.SILVER["flood"], rows("High", *days[:4])) is None
-    got = {r.date: r.flood_risk for r in store.read(fv.SILVER["flood"]).collect()}
-    assert got == {**dict.fromkeys(days[:4], "High"), days[4]: "Low"}
+def test_days_prune_the_partitions(store):
+    table = fv.SILVER["flood"]
+    store.upsert(table, store.spark.createDataFrame(
+        [("A", f"2026-01-0{n}", "Low") for n in range(1, 8)], "province string, date string, flood_risk string"))
+    rows = store.read(table, store.day("2026-01-03"))
+    assert [r.date for r in rows.collect()] == ["2026-01-03"]
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.fixture()
@@ -205,3 +202,18 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
                               sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError):
         shared_dir(cluster)
+
+
+def test_metrics_rejects_and_cleaners_of_a_flow(loaded):
+    add(loaded, "air_quality", air("Bangkok", 9, "18", RUN) | {"timestamp": "not-a-time", "message_id": "odd"})
+    add(loaded, "flood", flood("Trat", "Low", RUN) | {"date": "2026-13-45", "message_id": "odd"})
+    metrics = {r.source: tuple(r)[1:] for r in flows.run_flow(loaded, RUN, fv.SOURCES).collect()}
+    assert metrics["air_quality"][:3] == (6, 5, 1) and metrics["flood"] == (4, 4, 0, 4, 0)
+    rejects = sorted((r.source, r.errors) for r in loaded.read("silver_rejects").collect())
+    assert rejects == [("air_quality", ["range:pm25"]), ("air_quality", ["undated"]), ("flood", ["undated"])]
+
+    def nothing(bronze, run_ts, strict=False):
+        return cleaning.check_flood(bronze, run_ts, strict=strict).limit(0)
+
+    again = flows.run_flow(loaded, LATER, ["flood"], checks=cleaning.CHECKS | {"flood": nothing}).collect()
+    assert [tuple(r) for r in again] == [("flood", 0, 0, 0, 0, 0)]
