@@ -20,7 +20,7 @@ from skybasin.schemas import RAW, TABLES
 from skybasin.session import working_dir
 from skybasin.sources import files, messages, payloads, reference
 from skybasin.sources.tables import TableStore
-from skybasin.streaming.bronze import start_ingest
+from skybasin.streaming.bronze import ingest_batch, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -900,6 +900,33 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.overall_alert(store.read(fv.FACT), 30)
 
 
+@register(
+    "flow_hourly_alert",
+    o.with_tables(
+        _Q23.replace("FROM newest", "FROM dry_newest"),
+        dry=_AIR_AND_WEATHER,
+        dry_fact=o.scored("dry", "places"),
+        dry_newest=_NEWEST_DRY,
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.hourly_flow(_loaded(spark, sf_dir), b.RUN_TS)
+
+
+def _metrics_sql(source: str, checked: str, silver: str) -> str:
+    return f"""SELECT '{source}' AS source, count(*) AS read, count(*) FILTER (WHERE errors = '') AS valid,
+      count(*) FILTER (WHERE errors <> '') AS dropped, (SELECT count(*) FROM {silver}) AS inserted,
+      0::BIGINT AS modified FROM {checked}"""
+
+
+@register(
+    "flow_metrics",
+    o.with_tables(" UNION ALL ".join(_metrics_sql(s, _CHECKED[s], _SILVER[s]) for s in fv.SOURCES)),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.run_flow(_loaded(spark, sf_dir), b.RUN_TS, fv.SOURCES)
+
+
 @register("flow_daily", o.with_tables(_Q24))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _loaded(spark, sf_dir)
@@ -943,11 +970,18 @@ _REPEATED = "event_id % 10 = 0"
 _NO_ID = "event_id % 139 = 7"
 
 
-def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records of all sources as messages, some of them twice."""
+# Of two copies of a message the second arrives first for half of the ids.
+_ARRIVAL = "CASE WHEN event_id % 20 = 0 THEN copy ELSE 3 - copy END"
+
+
+def topic_messages(spark: SparkSession, sf_dir: str, marked: bool = False) -> DataFrame:
+    """All records of all sources as messages, some of them twice.
+
+    ``marked`` writes the number of the copy into its province.
+    """
     parts = []
     for source in fv.SOURCES:
-        fields = {"province": b.PROVINCE, **b.FIELDS[source]}
+        fields = {"province": f"concat(coalesce({b.PROVINCE}, ''), '#', copy)" if marked else b.PROVINCE, **b.FIELDS[source]}
         raw = {name: fields[name] for name in RAW[source].fieldNames()}
         raw["message_id"] = f"CASE WHEN {_NO_ID} THEN NULL ELSE {raw['message_id']} END"
         record = ", ".join(f"'{name}', {text}" for name, text in raw.items())
@@ -960,6 +994,8 @@ def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"CASE WHEN {_ELSEWHERE} THEN 'other' ELSE '{fv.TOPICS[source]}' END AS topic",
                 f"{raw['message_id']} AS key",
                 f"CASE WHEN {_BROKEN} THEN '{{broken' ELSE to_json(named_struct({record})) END AS value",
+                "0 AS partition",
+                f"event_id * 2 + {_ARRIVAL} AS offset",
             )
         )
     return parts[0].union(parts[1]).union(parts[2])
@@ -1016,6 +1052,71 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_ids(store)
 
 
+_STATS = f"""SELECT mode, total, written, total - errors - written AS duplicates, errors, unmapped
+  FROM (VALUES ('state'), ('table')) AS m(mode) CROSS JOIN (SELECT
+    sum(CASE WHEN {_ELSEWHERE} THEN 0 ELSE n END)::BIGINT AS total,
+    sum(CASE WHEN ({_BROKEN}) AND NOT ({_ELSEWHERE}) THEN n ELSE 0 END)::BIGINT AS errors,
+    sum(CASE WHEN {_ELSEWHERE} THEN n ELSE 0 END)::BIGINT AS unmapped
+    FROM (SELECT *, CASE WHEN {_REPEATED} THEN 2 ELSE 1 END AS n FROM e)) CROSS JOIN (
+    SELECT count(*) AS written FROM ids)"""
+_COUNTS = ["total", "written", "duplicates", "errors", "unmapped"]
+
+
+def _counts_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, "mode string, " + ", ".join(f"{n} bigint" for n in _COUNTS))
+
+
+@register("stream_stats", o.with_tables(_STATS, ids=_STORED_IDS))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals of a whole stream, the same in both modes."""
+    rows = []
+    for mode in ("state", "table"):
+        _, totals = _ingested(spark, sf_dir, mode)
+        rows.append((mode, *(totals[name] for name in _COUNTS)))
+    return _counts_frame(spark, rows)
+
+
+_FIRST = f"""SELECT DISTINCT {b.SOURCE} AS _source, 'm' || lpad(cast(event_id AS string), 12, '0') AS message_id,
+  CASE WHEN ({_REPEATED}) AND event_id % 20 <> 0 THEN '2' ELSE '1' END AS copy
+  {_KEPT} AND NOT ({_NO_ID})"""
+
+
+@register("stream_first", o.with_tables(_FIRST))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a message differ; the one with the lower offset is stored, whatever the order in a batch."""
+    store = _store(spark)
+    ingest_batch(store, topic_messages(spark, sf_dir, marked=True), b.RUN_TS)
+    parts = [
+        store.read(fv.BRONZE[source])
+        .filter("message_id IS NOT NULL")
+        .select("_source", "message_id", F.substring_index("province", "#", -1).alias("copy"))
+        for source in fv.SOURCES
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@register(
+    "stream_sparse",
+    o.with_tables(
+        f"""SELECT _source AS source, count(*) AS rows FROM ids GROUP BY _source UNION ALL
+        SELECT 'rejects', sum(CASE WHEN {_REPEATED} THEN 2 ELSE 1 END)::BIGINT FROM e
+        WHERE {_BROKEN} AND NOT ({_ELSEWHERE})""",
+        ids=_STORED_IDS,
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches with one source each, without rejects, with rejects alone and with nothing, each run twice."""
+    store = _store(spark)
+    sent = topic_messages(spark, sf_dir)
+    broken = F.col("value") == "{broken"
+    batches = [sent.filter(~broken & (F.col("topic") == topic)) for topic in (*fv.TOPICS.values(), "other", "none")]
+    for batch in [*batches, sent.filter(broken), sent.limit(0)]:
+        for _ in range(2):
+            ingest_batch(store, batch, b.RUN_TS)
+    stored = _stored_ids(store).groupBy(F.col("_source").alias("source")).agg(F.count("*").alias("rows"))
+    return stored.union(store.read("bronze_rejects").agg(F.lit("rejects"), F.count("*")))
+
+
 @register(
     "stream_routing",
     o.with_tables(
