@@ -140,19 +140,20 @@ def near_duplicates(
     full = sketches.filter("n_shingles > 0")
     sets = ["set_a", "set_b", "n_shingles"]
     classes = full.groupBy(*sets).agg(F.min("doc_id").alias("class"))
-    membership = full.select("doc_id", *sets).join(classes, sets).select("doc_id", "class").distinct()
+    membership = full.select("doc_id", *sets).join(classes, sets).select("doc_id", "class")
     firsts = (
         full.join(classes.withColumnRenamed("class", "doc_id"), [*sets, "doc_id"], "left_semi")
         .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", *_SIGNATURE)
     )
 
     # Buckets of two or more classes, and how many mates each class has over all bands.
-    placed = firsts.select("id", F.explode("bands").alias("key"))
+    placed = firsts.select("id", F.posexplode("bands").alias("band", "key"))
     shared = placed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = stored(placed.join(shared, "key"), "buckets")
     mates = members.groupBy("id").agg(F.sum("size").alias("mates"))
-    signatures = stored(firsts.drop("bands").join(mates, "id"), "signatures")
-    texts = rows.join(signatures.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    signatures = stored(firsts.join(mates, "id"), "signatures")
+    # Merged at every size: with a plan that changes with the size, costs can't be foreseen.
+    texts = rows.join(signatures.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     shingles = stored(
         texts.select("doc_id", "text").mapInArrow(lambda x: _full_sets(x, width), "id bigint, shingles array<bigint>"),
         "shingles",
@@ -171,7 +172,7 @@ def near_duplicates(
 
     # Buckets that still hold several components.
     labelled = members.join(labels, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
+        "key", "band", "id", F.coalesce("component", "id").alias("component")
     )
     mixed = labelled.groupBy("key").agg(
         F.min("component").alias("lowest"), F.max("component").alias("highest")
@@ -183,7 +184,9 @@ def near_duplicates(
         (F.col("l.key") == F.col("r.key"))
         & (F.col("l.id") < F.col("r.id"))
         & (F.col("l.component") != F.col("r.component"))
-        & may_link("l", "r", percent),
+        & may_link("l", "r", percent)
+        # A pair comes from the first of the bands that it shares.
+        & ~F.arrays_overlap(F.expr("slice(l.bands, 1, l.band)"), F.expr("slice(r.bands, 1, r.band)")),
     ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     untested = across.distinct().join(first_tests, ["a", "b"], "left_anti")
     second_tests = _confirm(untested, shingles, percent)
