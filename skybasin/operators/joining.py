@@ -5,59 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skybasin import fixed_values as fv
 from skybasin.functions.text import filled
 from skybasin.functions.timestamps import bucket_day, valid_date
-from skybasin.operators.latest import latest_rows
 
 KEYS = ["province", "date"]
 
 
-def daily_latest(silver: DataFrame, as_of: str | None = None) -> DataFrame:
-    """The row of the last hour bucket per province and day."""
+def _dated(silver: DataFrame, as_of: str | None) -> DataFrame:
+    """Rows of an hourly table that have a day, or of one day."""
     dated = silver.withColumn("date", bucket_day(F.col("hour_bucket")))
-    dated = dated.filter(F.col("date").isNotNull() if as_of is None else F.col("date") == as_of)
-    return latest_rows(dated, KEYS, ["hour_bucket", "message_id"])
+    return dated.filter(F.col("date").isNotNull() if as_of is None else F.col("date") == as_of)
 
 
 def join_sources(
     air: DataFrame, weather: DataFrame, flood: DataFrame, run_ts: str, as_of: str | None = None
 ) -> DataFrame:
-    """Full outer join of the sources by province and day.
+    """One row per province and day that any source has, with the row of the last hour of each.
 
-    Covers all days in one job, or a single one with ``as_of``.  Both inputs of
-    the first join leave their window partitioned and sorted by the join keys, so
-    that join adds no shuffle.
+    Covers all days in one job, or a single one with ``as_of``.  The sources are laid under each
+    other, each in a column of its own, and reduced by one aggregation: a task keeps one row per
+    key before the only shuffle, so a key with very many hours is harmless.
     """
     day = valid_date(F.col("date")) if as_of is None else F.col("date") == as_of
-    a = daily_latest(air, as_of).select(*KEYS, F.col("hour_bucket").alias("air_hour"), "pm25")
-    w = daily_latest(weather, as_of).select(
-        *KEYS,
-        F.col("hour_bucket").alias("weather_hour"),
-        "temperature",
-        "humidity",
-        "weather_condition",
-        "weather_description",
-    )
-    f = flood.filter(day).select(*KEYS, "flood_risk", "affected_area_km2", "water_level_m")
-    return (
-        a.join(w, KEYS, "full_outer")
-        .join(f, KEYS, "full_outer")
-        .select(
-            *KEYS,
-            F.coalesce(filled(F.col("air_hour")), "weather_hour").alias("hour_bucket"),
-            "pm25",
-            "temperature",
-            "humidity",
-            "weather_condition",
-            "weather_description",
-            "flood_risk",
-            "affected_area_km2",
-            "water_level_m",
-            F.lit(run_ts).alias("_processed_at"),
-            F.lit("silver").alias("_layer"),
+    sky = ["temperature", "humidity", "weather_condition", "weather_description"]
+    water = ["flood_risk", "affected_area_km2", "water_level_m"]
+    # Compared field by field: the last hour first, then the message.
+    rows = (
+        _dated(air, as_of)
+        .select(*KEYS, F.struct("hour_bucket", "message_id", "pm25").alias("air"))
+        .unionByName(
+            _dated(weather, as_of).select(*KEYS, F.struct("hour_bucket", "message_id", *sky).alias("sky")),
+            allowMissingColumns=True,
+        )
+        .unionByName(
+            flood.filter(day).select(*KEYS, F.struct(*water).alias("water")), allowMissingColumns=True
         )
     )
+    newest = rows.groupBy(*KEYS).agg(*(F.max(name).alias(name) for name in ("air", "sky", "water")))
+    return newest.select(
+        *KEYS,
+        F.coalesce(filled(F.col("air.hour_bucket")), "sky.hour_bucket").alias("hour_bucket"),
+        "air.pm25",
+        *(f"sky.{name}" for name in sky),
+        *(f"water.{name}" for name in water),
+        F.lit(run_ts).alias("_processed_at"),
+        F.lit("silver").alias("_layer"),
+    )
 
 
 def source_keys(*silver: DataFrame) -> DataFrame:
@@ -66,10 +59,3 @@ def source_keys(*silver: DataFrame) -> DataFrame:
     for other in others:
         first = first.union(other)
     return first.distinct()
-
-
-ORDER = {
-    fv.SILVER["air_quality"]: ["_ingested_at", "message_id"],
-    fv.SILVER["weather"]: ["_ingested_at", "message_id"],
-    fv.SILVER["flood"]: ["_ingested_at", "message_id"],
-}
