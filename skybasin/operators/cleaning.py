@@ -16,6 +16,7 @@ from skybasin import fixed_values as fv
 from skybasin.functions.text import strip, to_double
 from skybasin.functions.timestamps import bucket_day, hour_bucket, valid_date
 from skybasin.operators import quality
+from skybasin.operators.latest import latest_rows
 from skybasin.sources import reference
 
 #: (raw rows, run stamp, strict=False) -> the rows with ``_errors``.
@@ -26,8 +27,11 @@ INGESTED = "_ingested_at"
 
 
 def canonical_province(df: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """Strip the province name and replace a known alias."""
-    names = aliases if aliases is not None else reference.aliases(df.sparkSession)
+    """Strip the province name and replace a known alias; of one listed twice, the last name counts."""
+    if aliases is None:
+        names = reference.aliases(df.sparkSession)
+    else:
+        names = latest_rows(aliases.select("alias", "canonical"), ["alias"], ["canonical"])
     stripped = df.withColumn("province", strip(F.col("province")))
     matched = stripped.join(names, stripped["province"] == names["alias"], "left")
     return matched.withColumn("province", F.coalesce("canonical", "province")).drop(

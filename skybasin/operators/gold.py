@@ -9,12 +9,19 @@ from skybasin import fixed_values as fv
 from skybasin.functions import labels, scores
 from skybasin.functions.rounding import half_even
 from skybasin.functions.timestamps import valid_date
+from skybasin.operators.latest import latest_rows
 from skybasin.sources import reference
 
 
 def with_coordinates(df: DataFrame, locations: DataFrame | None = None) -> DataFrame:
-    """Add ``lat`` and ``lon`` of the province, null where it is unknown."""
-    places = locations if locations is not None else reference.provinces(df.sparkSession)
+    """Add ``lat`` and ``lon`` of the province, null where it is unknown.
+
+    Of a place that ``locations`` lists twice, the entry of the largest coordinates counts.
+    """
+    if locations is None:
+        places = reference.provinces(df.sparkSession)
+    else:
+        places = latest_rows(locations.select("name", "lat", "lon"), ["name"], ["lat", "lon"])
     places = places.select(F.col("name").alias("__name"), "lat", "lon")
     return df.join(places, df["province"] == places["__name"], "left").drop("__name")
 

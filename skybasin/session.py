@@ -45,9 +45,21 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application below the shared one; it goes when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/skybasin-{spark.sparkContext.applicationId}"
+    context = spark.sparkContext
+    for name in (path, context.getCheckpointDir()):
+        folder = context._jvm.org.apache.hadoop.fs.Path(name)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return path
+
+
 def working_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder of its own below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A name for a fresh folder of its own below that of the application."""
+    return f"{run_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def side_by_side(spark: SparkSession, jobs: list[Callable]) -> list:

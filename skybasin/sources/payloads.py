@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 
 from skybasin import fixed_values as fv
 from skybasin.functions import identity
+from skybasin.operators.latest import latest_rows
 from skybasin.schemas import AIR_PAYLOAD, WEATHER_PAYLOAD
 from skybasin.sources import reference
 
 
 def canonical_names(df: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Replace local-language province names; rows with other names are dropped."""
-    known = names if names is not None else reference.local_names(df.sparkSession)
+    """Replace local-language province names; rows with other names are dropped.
+
+    Of a local name that ``names`` lists twice, the last province counts.
+    """
+    if names is None:
+        known = reference.local_names(df.sparkSession)
+    else:
+        known = latest_rows(names.select("local_name", "province"), ["local_name"], ["province"])
     known = known.select(F.col("local_name"), F.col("province").alias("__canonical"))
     return (
         df.join(known, df["province"] == known["local_name"], "inner")

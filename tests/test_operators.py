@@ -336,3 +336,11 @@ def test_top_n(spark, top_n):
     assert [r.province for r in bi.pm25_by_province(table, top_n).collect()] == [f"P{4 - i}" for i in range(top_n)]
     assert [r.province for r in bi.temperature_by_province(table, top_n).collect()] == [f"P{4 - i}" for i in range(top_n)]
     assert [r.province for r in bi.flood_risk_by_province(table, top_n).collect()] == [f"P{i}" for i in range(top_n)]
+
+
+def test_reference_tables_that_list_a_key_twice(spark):
+    rows = spark.createDataFrame([("P", 1)], "province string, n int")
+    twice = spark.createDataFrame([("P", "Q"), ("P", "R")], "alias string, canonical string")
+    assert [r.province for r in cleaning.canonical_province(rows, twice).collect()] == ["R"]
+    places = spark.createDataFrame([("P", 1.0, 2.0), ("P", 3.0, 1.0)], "name string, lat double, lon double")
+    assert [(r.lat, r.lon) for r in gold.with_coordinates(rows, places).collect()] == [(3.0, 1.0)]
