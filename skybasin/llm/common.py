@@ -30,17 +30,10 @@ def stored(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     path = working_dir(spark, f"llm-{purpose}")
     schema = df.schema
     df.write.option("compression", compression).parquet(path)
-    drop_at_exit(spark, path)
     release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
-def drop_at_exit(spark: SparkSession, path: str) -> None:
-    """Remove a folder when the application ends."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files that no plan refers to any more."""
     gc.collect()

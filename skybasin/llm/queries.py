@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, minhash, mixing, oracle, repeats, token_files, toxicity
-from skybasin.llm.common import drop_at_exit, table, tokenizer_file
+from skybasin.llm.common import table, tokenizer_file
 from skybasin.session import working_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,7 +67,6 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_dir(spark, "llm-tokens")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     token_files.write_token_files(docs, folder, tokenizer_file("word_bpe_49k.json"), end_id=1)
-    drop_at_exit(spark, folder)
     return token_files.read_token_files(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
