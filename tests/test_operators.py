@@ -18,6 +18,12 @@ RUN = "2026-05-01T00:00:00+00:00"
 STAMPS = ", _ingested_at string, _source string, _layer string"
 
 
+def first_plan(df):
+    """The physical plan before adaptive execution changed it."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+
 def raw(spark, source, *rows):
     names = RAW[source].fieldNames() + ["_ingested_at", "_source", "_layer"]
     ddl = ", ".join(f"{n} string" for n in names)
@@ -102,7 +108,7 @@ def test_latest_rows_with_a_hot_key(spark):
             best[row[0]] = row
     got = latest_rows(df, ["k"], ["d", "i"])
     assert sorted(tuple(r) for r in got.collect()) == sorted(best.values())
-    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = first_plan(got)
     assert plan.count("WindowGroupLimit") == 2  # one of them before the shuffle
 
 
@@ -149,7 +155,7 @@ def test_upsert_of_whole_rows_takes_one_shuffle(spark):
     got = upsert(target, updates, ["k"])
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(
         [("a", None, "n"), ("b", 2, None), ("c", 9, "n"), (None, 4, "n")], key=str)
-    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert first_plan(got).count("Exchange") == 1
     joined = upsert(target, updates.select("k", "v"), ["k"], with_change=True).drop("_change")
     assert sorted(map(str, joined.collect())) == sorted(map(str, got.drop("new").collect()))
 
