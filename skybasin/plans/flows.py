@@ -118,10 +118,12 @@ def run_flow(
     return metrics
 
 
-def hourly_flow(store: TableStore, run_ts: str, as_of: str | None = None) -> DataFrame:
+def hourly_flow(
+    store: TableStore, run_ts: str, as_of: str | None = None, threshold: float = 50
+) -> DataFrame:
     """Air quality and weather through to the overall alert."""
     run_flow(store, run_ts, HOURLY, as_of)
-    return overall_alert(store.read(fv.FACT))
+    return overall_alert(store.read(fv.FACT), threshold)
 
 
 def daily_flow(store: TableStore, run_ts: str, as_of: str | None = None) -> DataFrame:
