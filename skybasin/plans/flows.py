@@ -119,7 +119,7 @@ def run_flow(
 
 
 def hourly_flow(
-    store: TableStore, run_ts: str, as_of: str | None = None, threshold: float = 50
+    store: TableStore, run_ts: str, as_of: str | None = None, threshold: float = fv.ALERT_THRESHOLD
 ) -> DataFrame:
     """Air quality and weather through to the overall alert."""
     run_flow(store, run_ts, HOURLY, as_of)
