@@ -25,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a similarity of 0.8 or more the document with the smallest id stays."""
-    return minhash.drop_near_duplicates(docs, percent=80)
+    """Of texts linked by a similarity of 0.8 or more the row with the smallest id stays, one without id as last."""
+    return minhash.drop_near_duplicates(docs, percent=80, null_ids_stay=False)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 1.  Each text becomes its set of word shingles and ``HASHES`` minima over it.  The first
     ``BANDS * ROWS`` minima make the band keys; the ``BITS`` low bits of all minima are packed
-    into a signature.  Texts with equal sets are one class, which goes on as its smallest id.
+    into a signature.  Texts with equal sets are one class, which goes on as one of its rows.
 2.  Classes that share a band key are candidates.  How many places of two signatures differ, by
     xor and bit counts, gives their similarity; of the differing share of minima only
     ``1 - 2 ** -BITS`` show in the low bits, which the threshold on counts takes into account.
@@ -12,6 +12,9 @@
     where their signatures allow a link.  That join emits only such pairs.
 5.  Every link is confirmed on the full sets.
 
+Ids may repeat or be null: inside, a row is its number in the stored sketches, and its id and a
+128-bit hash of its text where texts are read again.
+
 For a pair at the threshold of 0.85, all bands miss it with probability 2e-8, and its signatures
 are off by more than ``SIGMAS`` standard deviations with 3e-7; closer pairs are safer.
 """
@@ -67,7 +70,7 @@ def _keys_and_bits(lowest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SKETCH = (
-    "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, "
+    "row bigint, doc_id bigint, text_md5 string, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, "
     + ", ".join(f"{s} bigint" for s in _SIGNATURE)
 )
 
@@ -76,7 +79,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
     names = [x.split()[0] for x in _SKETCH.split(", ")]
     for batch in batches:
         for part in slices(batch):
-            sets = [shingle_set(w, width) for w in word_hashes(_utf8(part.column(1)))]
+            sets = [shingle_set(w, width) for w in word_hashes(_utf8(part.column(3)))]
             keys, packed = _keys_and_bits(np.stack([minima(s) for s in sets]))
             # Two sums over the set, each of a different mix: 128 bits that stand for the set.
             first = [int(mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets]
@@ -84,7 +87,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             edges = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0),
+                    *part.columns[:3],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(np.array(first, np.uint64).view(np.int64)),
                     pa.array(np.array(second, np.uint64).view(np.int64)),
@@ -100,8 +103,13 @@ def _utf8(texts: pa.Array) -> list[bytes]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Sets of (id, text) rows; of neighbours with one id, which have one text, the first is enough."""
+    before = None
     for batch in batches:
-        for part in slices(batch):
+        ids = batch.column(0).to_pylist()
+        fresh = [a != b for a, b in zip(ids, [before, *ids])]
+        before = ids[-1] if ids else before
+        for part in slices(batch.filter(pa.array(fresh, pa.bool_()))):
             sets = [shingle_set(w, width).view(np.int64) for w in word_hashes(_utf8(part.column(1)))]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"]
@@ -121,29 +129,62 @@ def may_link(left: str, right: str, percent: int) -> Column:
     return (100 * small >= percent * large) & (functools.reduce(operator.add, counts) <= most)
 
 
+def _identity(id_col: str, text_col: str) -> list[Column]:
+    """What a row is known by where it is read again: its id, which may be null, and its text."""
+    return [
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+        F.md5(text_of(F.col(f"`{text_col}`")).cast("binary")).alias("text_md5"),
+    ]
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every document.
+    """``doc_id, n_shingles, component_id, kept`` for every id.
 
-    Documents are linked when 100 * shared shingles >= percent * shingles of either; a component
-    is what links connect, named by its smallest id, which is the one kept.  Texts with fewer than
-    ``width`` words are one shingle; an empty or null text has none and no link.  Rows that repeat
-    an id are one document, that of the longest set; rows with a null id are left out.  An empty table gives
-    no rows.  Other columns are not read.
+    As ``near_duplicate_rows``, with the rows that repeat an id taken as one document: it has the size
+    of the longest set and is linked to what any of its rows is linked to.  Rows with a null id are left out.
     """
-    rows = docs.select(
-        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text_of(F.col(f"`{text_col}`")).alias("text")
-    ).filter("doc_id IS NOT NULL")
+    rows = near_duplicate_rows(docs.filter(F.col(f"`{id_col}`").cast("bigint").isNotNull()), percent, width, id_col, text_col)
+    rows = stored(rows, "rows")
+    final = components(rows.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
+    return (
+        rows.groupBy("doc_id")
+        .agg(F.max("n_shingles").alias("n_shingles"))
+        .join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    )
+
+
+def near_duplicate_rows(
+    docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row.
 
-    sketches = stored(rows.mapInArrow(lambda x: _sketch(x, width), _SKETCH), "sketches")
+    Rows are linked when 100 * shared shingles >= percent * shingles of either; a component is what
+    links connect, named by its smallest id (null if it has no other).  One row of it is kept: one
+    with that id, of several the one with the smallest hash of the text.  Rows that repeat an id are
+    rows of their own.  Texts with fewer than ``width`` words are one shingle; an empty or null text
+    has none and no link.  An empty table gives no rows.  Other columns are not read.
+    """
+    return _grouped(docs, percent, width, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicate_rows`` with the hash of the text."""
+    rows = docs.select(*_identity(id_col, text_col), text_of(F.col(f"`{text_col}`")).alias("text"))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_md5", "text")
+
+    # Numbers hold from here on, as they are read from the stored rows.
+    sketches = stored(numbered.mapInArrow(lambda x: _sketch(x, width), _SKETCH), "sketches")
     full = sketches.filter("n_shingles > 0")
     sets = ["set_a", "set_b", "n_shingles"]
-    classes = full.groupBy(*sets).agg(F.min("doc_id").alias("class"))
-    membership = full.select("doc_id", *sets).join(classes, sets).select("doc_id", "class")
-    firsts = (
-        full.join(classes.withColumnRenamed("class", "doc_id"), [*sets, "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", *_SIGNATURE)
+    # The first of a class: by id, null last, then by text; its row number is the class.
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5", "row")
+    classes = full.groupBy(*sets).agg(F.min(place).alias("first")).withColumn("class", F.col("first.row"))
+    firsts = full.join(classes.select(F.col("class").alias("row")), "row", "left_semi").select(
+        F.col("row").alias("id"), "doc_id", "text_md5", F.col("n_shingles").alias("n"), "bands", *_SIGNATURE
     )
 
     # Buckets of two or more classes, and how many mates each class has over all bands.
@@ -153,9 +194,10 @@ def near_duplicates(
     mates = members.groupBy("id").agg(F.sum("size").alias("mates"))
     signatures = stored(firsts.join(mates, "id"), "signatures")
     # Merged at every size: with a plan that changes with the size, costs can't be foreseen.
-    texts = rows.join(signatures.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    wanted = signatures.select("id", F.col("doc_id").alias("of"), F.col("text_md5").alias("hash"))
+    texts = rows.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_md5") == F.col("hash")))
     shingles = stored(
-        texts.select("doc_id", "text").mapInArrow(lambda x: _full_sets(x, width), "id bigint, shingles array<bigint>"),
+        texts.select("id", "text").mapInArrow(lambda x: _full_sets(x, width), "id bigint, shingles array<bigint>"),
         "shingles",
     )
 
@@ -193,15 +235,21 @@ def near_duplicates(
     links = first_tests.filter("linked").select("a", "b").union(second_tests.filter("linked").select("a", "b"))
     final = components(links).select(F.col("id").alias("class"), "component")
 
-    placed_docs = membership.join(final, "class", "left").select(
-        "doc_id", F.coalesce("component", "class").alias("component_id")
+    # The first of a component, for the classes that have links; other classes have their own.
+    linked = classes.select("class", "first").join(final, "class")
+    heads = linked.groupBy("component").agg(F.min("first").alias("head"))
+    moved = linked.join(heads, "component").select("class", "head")
+    named = classes.join(moved, "class", "left").select(*sets, F.coalesce("head", "first").alias("head"))
+    found = full.join(named, sets).select(
+        "doc_id",
+        "text_md5",
+        "n_shingles",
+        F.col("head.doc_id").alias("component_id"),
+        (F.col("row") == F.col("head.row")).alias("kept"),
     )
-    return (
-        sketches.groupBy("doc_id")
-        .agg(F.max("n_shingles").alias("n_shingles"))
-        .join(placed_docs.groupBy("doc_id").agg(F.min("component_id").alias("component_id")), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    empty = sketches.filter("n_shingles = 0")
+    return found.union(
+        empty.select("doc_id", "text_md5", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     )
 
 
@@ -225,8 +273,34 @@ def _confirm(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", (100 * both >= percent * either).alias("linked"))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with the columns they came with; rows with a null id stay."""
-    found = near_duplicates(docs, percent, width, id_col, text_col)
-    dropped = found.filter("NOT kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(dropped, id_col, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+def drop_near_duplicates(
+    docs: DataFrame,
+    percent: int = 80,
+    width: int = 5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    null_ids_stay: bool = True,
+) -> DataFrame:
+    """The rows that stay, with the columns they came with: one of each component, all without shingles.
+
+    Rows with a null id stay and keep no other row from staying; with ``null_ids_stay`` false they
+    are rows like all others, after those with an id.  Of rows equal in id and text any one stays.
+    """
+    named = docs.filter(F.col(f"`{id_col}`").cast("bigint").isNotNull()) if null_ids_stay else docs
+    found = _grouped(named, percent, width, id_col, text_col).filter("n_shingles > 0")
+    verdicts = stored(
+        found.groupBy("doc_id", "text_md5")
+        .agg(F.max("kept").alias("kept"), F.count("*").alias("copies"))
+        .filter("NOT kept OR copies > 1"),
+        "verdicts",
+    )
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        *(x.alias(a) for x, a in zip(_identity(id_col, text_col), ["of", "hash"])),
+    )
+    same = F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_md5"))
+    left = rows.join(verdicts, same, "left_anti")
+    repeated = verdicts.filter("kept")
+    if not repeated.isEmpty():
+        left = left.union(rows.join(repeated, same, "left_semi").dropDuplicates(["of", "hash"]))
+    return left.select("row.*")

@@ -95,7 +95,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(oracle.NEAR_DEDUP)
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+    return minhash.near_duplicate_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
 @register()

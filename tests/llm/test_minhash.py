@@ -75,6 +75,36 @@ def test_repeated_ids_are_one_document(docs_of):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == [(1, 2, 1), (3, 2, 1)]
 
 
+A, B = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+
+
+def test_rows_that_share_an_id_are_grouped_by_their_texts(docs_of):
+    rows = [(1, A), (3, f"{A} x"), (3, B), (5, f"{B} x"), (3, "a clean text"), (None, f"{B} y"), (None, "alone"), (5, None)]
+    found = minhash.near_duplicate_rows(docs_of(rows)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(1, 56, 1, True), (3, 57, 1, False), (3, 56, 3, True), (5, 57, 3, False), (3, 1, 3, True)]
+        + [(None, 57, 3, False), (None, 1, None, True), (5, 0, 5, True)],
+        key=str,
+    )
+    left = minhash.drop_near_duplicates(docs_of(rows), null_ids_stay=False)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(1, A), (3, B), (3, "a clean text"), (None, "alone"), (5, None)], key=str
+    )
+
+
+def test_equal_rows_keep_one(docs_of):
+    rows = [(3, A), (3, A), (3, A), (None, B), (None, B), (None, f"{B} x"), (7, f"{A} x"), (8, "")]
+    found = minhash.near_duplicate_rows(docs_of(rows)).collect()
+    assert len(found) == 8 and sorted((r.component_id or 0) for r in found if r.kept) == [0, 3, 8]
+    left = minhash.drop_near_duplicates(docs_of(rows), null_ids_stay=False).collect()
+    assert sorted((r.doc_id or 0) for r in left) == [0, 3, 8]
+
+
+def test_an_id_with_several_texts_reaches_all_of_their_links(docs_of):
+    found = minhash.near_duplicates(docs_of([(1, A), (3, A), (3, B), (5, B)])).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [(1, 1, True), (3, 1, False), (5, 1, False)]
+
+
 def test_words_of_very_long_texts():
     long = b"aB " * SEGMENT + b"x" * (2 * SEGMENT) + b"\x0b" + b"y"
     words = word_hashes([b"ab", long, b"", b"y X"])
