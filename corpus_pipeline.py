@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the digests of ids and of the text decoded from them."""
     encoded = bpe.encode(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.json"), decoded_col="decoded")
-    return bpe.digest(encoded)
+    return bpe.digest(encoded, "ids")
 
 
 STAGES = [
@@ -52,8 +52,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokenized corpus: ``ids`` of every row, with its count and digests."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the stored corpus."""
+    return corpus(spark, sf_dir).drop("ids")

@@ -199,11 +199,12 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", decoded_col: str =
     return rows.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)
 
 
-def digest(encoded: DataFrame) -> DataFrame:
-    """Counts and digests of ``ids`` and ``decoded``."""
+def digest(encoded: DataFrame, *others: str) -> DataFrame:
+    """Counts and digests of ``ids`` and ``decoded``, and the columns named beside them."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *others,
     )

@@ -60,5 +60,14 @@ def test_pipeline_is_its_stages_one_by_one(spark):
     assert sorted(found) == sorted(wanted)
 
 
+def test_the_last_stage_gives_the_token_ids(spark):
+    texts = {1: "some words, some more", 2: "", 3: "\u00e9t\u00e9 \U0001f600"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = corpus_pipeline.encode(spark, docs, DIR).collect()
+    library = bpe.ByteBpe(tokenizer_file("byte_bpe_50k.json"))
+    assert {r.doc_id: r.ids for r in rows} == {i: library.encode([t])[0].tolist() for i, t in texts.items()}
+    assert all(r.n_tokens == len(r.ids) for r in rows)
+
+
 def test_stages():
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["drop_toxic", "drop_copies", "drop_near_copies", "mix_sources", "encode"]
