@@ -41,16 +41,18 @@ WIDTHS = (48, 8, 1)
 #: Windows looked at together; a longer text is taken in segments of this size.
 SEGMENT = 1 << 18
 
-#: A place is a document, the version of its text (rows may repeat an id), and a window in it.
-_PLACE = ["doc", "version", "base", "anchor", "start", "windows"]
+#: Rows may repeat an id: a text is known by its id, a 64-bit hash (its version) and its length.
+_TEXT = ["doc", "version", "length"]
+#: A place is a text and a window in it.
+_PLACE = [*_TEXT, "base", "anchor", "start", "windows"]
 _DIGIT = ["digit_a", "digit_b"]
 _WHOLE = ["whole_a", "whole_b"]
 _RANGES = (
-    "doc bigint, version int, base int, anchor int, start int, windows int, "
+    "doc bigint, version bigint, length int, base int, anchor int, start int, windows int, "
     "digit_a bigint, digit_b bigint, whole_a bigint, whole_b bigint"
 )
 _NAMES = [x.split()[0] for x in _RANGES.split(", ")]
-_TYPES = [pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 4]
+_TYPES = [pa.int64(), pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 4]
 
 
 def _lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -97,13 +99,14 @@ def _first_ranges(batches: Iterator[pa.RecordBatch], threshold: int, gram: int)
         for part in slices(batch):
             found: list[tuple[np.ndarray, ...]] = []
             wholes: list[tuple[int, int]] = []
-            docs, versions, texts = part.columns
-            for doc, version, text in zip(
-                docs.to_pylist(), versions.to_pylist(), texts.cast(pa.binary()).to_pylist()
+            docs, versions, lengths, texts = part.columns
+            for doc, version, length, text in zip(
+                docs.to_pylist(), versions.to_pylist(), lengths.to_pylist(), texts.cast(pa.binary()).to_pylist()
             ):
                 for starts, sizes, anchors, hashes in anchored_ranges(text, threshold, gram):
                     same = np.ones(len(starts), np.int64)
-                    found.append((doc * same, version * same, starts, anchors, starts, sizes, hashes.view(np.int64), 0 * same))
+                    text_key = (doc * same, version * same, length * same)
+                    found.append((*text_key, starts, anchors, starts, sizes, hashes.view(np.int64), 0 * same))
                     ends = (starts + sizes + threshold - 1).tolist()
                     wholes += [_halves(text[a:b]) for a, b in zip(starts.tolist(), ends)]
             if found:
@@ -131,13 +134,13 @@ def _deeper(batches: Iterator[pa.RecordBatch], threshold: int, width: int) -> It
     for batch in batches:
         for part in slices(batch):
             rows: list[tuple] = []
-            for doc, version, base, anchor, text, ranges in zip(*(c.to_pylist() for c in part.columns)):
+            for doc, version, length, base, anchor, text, ranges in zip(*(c.to_pylist() for c in part.columns)):
                 for one in ranges:
                     for first, count, highest in cut(one["start"], one["windows"], anchor, width):
                         digit = text[highest - base : highest - base + threshold - width + 1]
                         whole = text[first - base : first - base + count + threshold - 1]
                         rows.append(
-                            (doc, version, base, anchor, first, count, *_halves(digit), *_halves(whole))
+                            (doc, version, length, base, anchor, first, count, *_halves(digit), *_halves(whole))
                         )
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -156,7 +159,7 @@ def _pass(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
     several = wholes.groupBy(*_DIGIT).agg(F.count("*").alias("kinds")).filter("kinds > 1")
     still_open = wholes.join(several, _DIGIT, "left_semi").select("first.*")
     known = wholes.filter("copies > 1").select(*_DIGIT, *_WHOLE)
-    repeated = ranges.join(known, [*_DIGIT, *_WHOLE], "left_semi").select("doc", "version", "start", "windows")
+    repeated = ranges.join(known, [*_DIGIT, *_WHOLE], "left_semi").select(*_TEXT, "start", "windows")
     return stored(repeated, "repeated"), stored(still_open, "open")
 
 
@@ -181,25 +184,25 @@ def remove_repeats(
     rows = docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-(1 << 63))).alias("doc"),
-        F.hash(text_of(F.col(f"`{text_col}`"))).alias("version"),
+        F.xxhash64(text_of(F.col(f"`{text_col}`"))).alias("version"),
+        F.octet_length(text_of(F.col(f"`{text_col}`"))).alias("length"),
         text_of(F.col(f"`{text_col}`")).alias("text"),
     )
-    long_rows = rows.filter(F.octet_length("text") >= threshold).select("doc", "version", "text")
+    long_rows = rows.filter(F.col("length") >= threshold).select(*_TEXT, "text")
 
     ranges = stored(long_rows.mapInArrow(lambda x: _first_ranges(x, threshold, gram), _RANGES), "ranges")
     repeated, still_open = _pass(ranges)
     found = [repeated]
 
     # The texts of the open ranges, once; later passes cut these.
-    wanted = still_open.groupBy("doc", "version").agg(
+    wanted = still_open.groupBy(*_TEXT).agg(
         F.collect_set(F.struct("base", "anchor", "windows")).alias("pieces")
     )
     pieces = stored(
-        long_rows.join(wanted, ["doc", "version"])
-        .select("doc", "version", F.col("text").cast("binary").alias("raw"), F.explode("pieces").alias("p"))
+        long_rows.join(wanted, _TEXT)
+        .select(*_TEXT, F.col("text").cast("binary").alias("raw"), F.explode("pieces").alias("p"))
         .select(
-            "doc",
-            "version",
+            *_TEXT,
             "p.base",
             "p.anchor",
             F.expr(f"substring(raw, p.base + 1, p.windows + {threshold - 1})").alias("piece"),
@@ -207,11 +210,11 @@ def remove_repeats(
         "pieces",
     )
     for width in widths:
-        grouped = still_open.groupBy("doc", "version", "base").agg(
+        grouped = still_open.groupBy(*_TEXT, "base").agg(
             F.collect_set(F.struct("start", "windows")).alias("ranges")
         )
-        texts = pieces.join(grouped, ["doc", "version", "base"]).select(
-            "doc", "version", "base", "anchor", "piece", "ranges"
+        texts = pieces.join(grouped, [*_TEXT, "base"]).select(
+            *_TEXT, "base", "anchor", "piece", "ranges"
         )
         ranges = stored(texts.mapInArrow(lambda x, w=width: _deeper(x, threshold, w), _RANGES), "ranges")
         repeated, still_open = _pass(ranges)
@@ -220,8 +223,8 @@ def remove_repeats(
     covered = found[0]
     for more in found[1:]:
         covered = covered.unionByName(more)
-    runs = covered.groupBy("doc", "version").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    marked = rows.join(runs, ["doc", "version"], "left").select("doc_id", "text", "runs")
+    runs = covered.groupBy(*_TEXT).agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    marked = rows.join(runs, _TEXT, "left").select("doc_id", "text", "runs")
     schema = (
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     )

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from skybasin.llm import repeats
 
@@ -77,3 +78,11 @@ def test_cells_cover_a_range_once():
         covered = sorted(w for first, count, _ in parts for w in range(first, first + count))
         assert covered == list(range(start, start + windows))
         assert all(highest >= first for first, _, highest in parts)
+
+
+def test_texts_of_one_id_are_told_apart_beyond_32_bits(spark, docs_of):
+    texts = spark.range(300_000).selectExpr("repeat(md5(cast(id AS string)), 13) AS text")
+    pairs = texts.groupBy(F.hash("text")).agg(F.sort_array(F.collect_list("text")).alias("pair"))
+    first, second = pairs.filter("size(pair) > 1").agg(F.min("pair")).head()[0][:2]
+    rows = [(None, first), (None, second), (7, first)]
+    assert _found(repeats.remove_repeats(docs_of(rows))) == _plain(rows, repeats.THRESHOLD)
