@@ -1,7 +1,7 @@
 """MinHash near-dedup: bands for candidates, b-bit signatures for estimates, full sets for links.
 
 1.  Each text becomes its set of word shingles and ``HASHES`` minima over it.  The first
-    ``BANDS * ROWS`` minima make the band keys; the ``BITS`` low bits of all minima are packed
+    minima, as many as the threshold takes, make the band keys; the ``BITS`` low bits of all minima are packed
     into a signature.  Texts with equal sets are one class, which goes on as one of its rows.
 2.  Classes that share a band key are candidates.  How many places of two signatures differ, by
     xor and bit counts, gives their similarity; of the differing share of minima only
@@ -15,7 +15,7 @@
 Ids may repeat or be null: inside, a row is its number in the stored sketches, and its id and a
 128-bit hash of its text where texts are read again.
 
-For a pair at the threshold of 0.85, all bands miss it with probability 2e-8, and its signatures
+A pair at the threshold is missed by all bands with probability ``MISS`` at most, and its signatures
 are off by more than ``SIGMAS`` standard deviations with 3e-7; closer pairs are safer.
 """
 
@@ -37,7 +37,8 @@ from skybasin.llm.components import components
 from skybasin.llm.shingles import mix, shingle_set, word_hashes
 
 HASHES, BITS = 512, 2
-BANDS, ROWS = 24, 4
+#: Rows of a band where there are minima for it, and the chance that all bands miss a pair at the threshold.
+ROWS, MISS = 4, 2.1e-8
 SIGMAS = 5
 _WORDS = HASHES * BITS // 64
 _SIGNATURE = [f"s{i}" for i in range(_WORDS)]
@@ -57,11 +58,22 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return lowest
 
 
-def _keys_and_bits(lowest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands, and rows of a band, that miss a pair of this similarity with probability ``MISS`` at most."""
+    for rows in range(ROWS, 0, -1):
+        same = (percent / 100) ** rows
+        bands = 1 if same >= 1 else math.ceil(math.log(MISS) / math.log1p(-same)) if same > 0 else HASHES + 1
+        if bands * rows <= HASHES:
+            return bands, rows
+    raise ValueError(f"{HASHES} minima are too few for pairs of {percent} percent")
+
+
+def _keys_and_bits(lowest: np.ndarray, percent: int = 85) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and packed signatures of a (documents, HASHES) array of minima."""
-    bands = lowest[:, : BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS)
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2])
-    for row in range(ROWS):
+    count, rows = bands_for(percent)
+    bands = lowest[:, : count * rows].astype(np.uint64).reshape(-1, count, rows)
+    keys = np.broadcast_to(np.arange(1, count + 1, dtype=np.uint64), bands.shape[:2])
+    for row in range(rows):
         keys = mix(keys ^ (bands[:, :, row] + np.uint64(row << 40)))
     low = mix(lowest.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
     shifts = (np.arange(HASHES, dtype=np.uint64) % np.uint64(64 // BITS)) * np.uint64(BITS)
@@ -75,16 +87,16 @@ _SKETCH = (
 )
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _SKETCH.split(", ")]
     for batch in batches:
         for part in slices(batch):
             sets = [shingle_set(w, width) for w in word_hashes(_utf8(part.column(3)))]
-            keys, packed = _keys_and_bits(np.stack([minima(s) for s in sets]))
+            keys, packed = _keys_and_bits(np.stack([minima(s) for s in sets]), percent)
             # Two sums over the set, each of a different mix: 128 bits that stand for the set.
             first = [int(mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets]
             second = [int(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64)) if len(s) else 0 for s in sets]
-            edges = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
+            edges = pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     *part.columns[:3],
@@ -177,7 +189,7 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_md5", "text")
 
     # Numbers hold from here on, as they are read from the stored rows.
-    sketches = stored(numbered.mapInArrow(lambda x: _sketch(x, width), _SKETCH), "sketches")
+    sketches = stored(numbered.mapInArrow(lambda x: _sketch(x, width, percent), _SKETCH), "sketches")
     full = sketches.filter("n_shingles > 0")
     sets = ["set_a", "set_b", "n_shingles"]
     # The first of a class: by id, null last, then by text; its row number is the class.

@@ -125,6 +125,16 @@ def test_estimates_follow_the_similarity():
     assert abs(estimate - 900 / 1100) < 0.08
 
 
+def test_bands_follow_the_threshold():
+    assert minhash.bands_for(85) == (24, 4) and minhash.bands_for(80) == (34, 4)
+    for percent in range(5, 101):
+        bands, rows = minhash.bands_for(percent)
+        assert bands * rows <= minhash.HASHES
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISS
+    lowest = np.arange(2 * minhash.HASHES, dtype=np.uint32).reshape(2, -1)
+    assert minhash._keys_and_bits(lowest, 80)[0].shape == (2, 34)
+
+
 def test_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(20, 60)] + [(100, i) for i in range(101, 160)] + [(7, 5), (5, 9), (9, 7), (3, 3), (None, 4)]
     rows = components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
