@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +35,19 @@ def stored(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Seconds between two calls of the driver's garbage collection.
+RELEASE_EVERY = 3.0
+_released = 0.0
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files that no plan refers to any more."""
+    """Let Spark's cleaner drop the shuffle files that no plan refers to any more, every few seconds."""
+    global _released
+    if time.monotonic() - _released < RELEASE_EVERY:
+        return
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _released = time.monotonic()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -112,3 +112,67 @@ SELECT coalesce(a_.page_id, b_.page_id) AS page_id,
 FROM a_ FULL JOIN b_ ON a_.page_id = b_.page_id
 WHERE a_.record IS DISTINCT FROM b_.record
 """
+
+
+def _crc(name: str, column: str, table: str) -> str:
+    """A common table ``name``: the unsigned crc32 of the decimal text of every id, bit by bit."""
+    return f"""{name} AS (
+    SELECT {column}, xor(list_reduce(
+        flatten(list_transform(string_split(CAST({column} AS VARCHAR), ''),
+            lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+        lambda s, b: CASE WHEN xor(s, b) & 1 = 1 THEN xor(xor(s, b) >> 1, 3988292384) ELSE xor(s, b) >> 1 END,
+        CAST(4294967295 AS BIGINT)), 4294967295) AS crc
+    FROM (SELECT DISTINCT {column} FROM {table} WHERE {column} IS NOT NULL)
+)"""
+
+
+def _leaf(text: str) -> str:
+    values = ("CAST(d.doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+_SIBLINGS = """coalesce(string_agg(digest, '') OVER (PARTITION BY {0}level, i // 3 ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY {0}level, i // 3 ORDER BY i
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r"""
+
+MANIFEST = f"""
+WITH RECURSIVE {_crc("crcs", "doc_id", "documents")}, leaves AS (
+    SELECT d.doc_id, coalesce('=' || source, '-') AS tree, {_leaf("text")} AS leaf,
+        CASE WHEN crc % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS tampered
+    FROM documents d LEFT JOIN crcs USING (doc_id)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, tampered) - 1 AS i,
+        count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+), trees AS (
+    SELECT tree, 0 AS level, i, n, leaf AS digest FROM placed
+    UNION ALL SELECT tree, level + 1, i // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY i))
+    FROM trees WHERE n > 1 GROUP BY tree, level, i // 3
+), subroots AS (
+    SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM trees WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, i, n, digest FROM subroots
+    UNION ALL SELECT level + 1, i // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY i))
+    FROM tops WHERE n > 1 GROUP BY level, i // 3
+), edges AS (
+    SELECT tree, level, i, {_SIBLINGS.format("tree, ")} FROM trees WHERE n > 1
+), top_edges AS (
+    SELECT level, i, {_SIBLINGS.format("")} FROM tops WHERE n > 1
+), steps AS (
+    SELECT p.tree, p.i, level, l, r FROM placed p JOIN edges e ON p.tree = e.tree AND p.i // CAST(pow(3, level) AS BIGINT) = e.i
+    UNION ALL
+    SELECT p.tree, p.i, 1000 + level, l, r FROM placed p JOIN subroots s USING (tree)
+        JOIN top_edges e ON s.i // CAST(pow(3, level) AS BIGINT) = e.i
+), proofs AS (
+    SELECT tree, i, string_agg(l || r, '' ORDER BY level) AS siblings, list(l || '|' || r ORDER BY level) AS path
+    FROM steps GROUP BY tree, i
+), results AS (
+    SELECT doc_id, leaf, digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+        sha256(coalesce(siblings, '')) AS proof_sha256,
+        list_reduce(coalesce(path, []), lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2)), tampered)
+            AS folded_root
+    FROM placed p JOIN subroots s USING (tree) LEFT JOIN proofs f ON f.tree = p.tree AND f.i = p.i
+)
+SELECT *, folded_root = root AS verified FROM results
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, minhash, mixing, oracle, repeats, token_files, toxicity
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, manifest, minhash, mixing, oracle, repeats, token_files, toxicity
 from skybasin.llm.common import table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -126,3 +126,30 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return cover_tree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def manifest_digest(docs: DataFrame) -> DataFrame:
+    """The manifest's digests, with every second document's line breaks lost since its leaf was taken."""
+    names = [F.col(c) for c in manifest.COLUMNS[:-1]]
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = manifest.leaf_digest(*names, F.when(odd, F.replace("text", F.lit("\n"), F.lit(""))))
+    built = manifest.build(docs, carried=F.when(odd, F.unhex(tampered)))
+    leaf = F.coalesce(F.lower(F.hex("carried")), "leaf")
+    return (
+        built.leaves.withColumn("root", F.lit(built.root))
+        .withColumn("folded_root", manifest.fold(leaf, F.col("proof")))
+        .select(
+            "doc_id",
+            "leaf",
+            "subroot",
+            "root",
+            manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+            "folded_root",
+            (F.col("folded_root") == F.col("root")).alias("verified"),
+        )
+    )
+
+
+@register(oracle.MANIFEST)
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digest(table(spark, sf_dir, "documents").select(*manifest.COLUMNS))
