@@ -176,3 +176,40 @@ WITH RECURSIVE {_crc("crcs", "doc_id", "documents")}, leaves AS (
 )
 SELECT *, folded_root = root AS verified FROM results
 """
+
+PREFIX_TRIE = f"""
+WITH {_crc("crcs", "conv_id", "conversations")}, turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+        md5(coalesce(role, '')) || md5(coalesce(text, '')) AS content,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+), parts AS (
+    SELECT c.conv_id, 0 AS part, t.k, t.content, t.words
+    FROM crcs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.k <= c.crc % 4
+    UNION ALL
+    SELECT c.conv_id, 1, t.k, t.content, t.words FROM crcs c JOIN turns t ON t.conv_id = c.conv_id AND t.k > c.crc % 4
+), rebuilt AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS depth, content, words FROM parts
+), members AS (
+    SELECT conv_id, depth, words, string_agg(content, '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix,
+        depth = count(*) OVER (PARTITION BY conv_id) AS ends FROM rebuilt
+    UNION ALL SELECT c.conv_id, 0, 0, '', NOT EXISTS (FROM rebuilt r WHERE r.conv_id = c.conv_id) FROM crcs c
+), nodes AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM members GROUP BY prefix, depth
+), parents AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, p.prefix AS parent
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = left(n.prefix, 64 * (n.depth - 1))
+), counted AS (
+    SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p
+        LEFT JOIN (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY ALL) c
+        ON c.parent = p.prefix AND c.depth = p.depth
+), sums AS (
+    SELECT m.prefix, m.depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+        sum((n_convs - 1) * c.words) AS saved_tokens
+    FROM counted c JOIN members m ON m.conv_id = c.conv_id AND m.depth <= c.depth GROUP BY m.prefix, m.depth
+)
+SELECT c.conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted c JOIN sums USING (prefix, depth)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, manifest, minhash, mixing, oracle, repeats, token_files, toxicity
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, manifest, minhash, mixing, oracle, prefix_trie, repeats, token_files, toxicity
 from skybasin.llm.common import table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -153,3 +153,14 @@ def manifest_digest(docs: DataFrame) -> DataFrame:
 @register(oracle.MANIFEST)
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents").select(*manifest.COLUMNS))
+
+
+def rebuilt_trie(turns: DataFrame) -> DataFrame:
+    """Conversations that begin as that of the last id divisible by 20, for 0 to 3 turns."""
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_nodes(turns, F.expr("conv_id - conv_id % 20"), head)
+
+
+@register(oracle.PREFIX_TRIE)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
