@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, manifest, minhash, mixing, oracle, prefix_trie, repeats, token_files, toxicity
+from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, manifest, minhash, mixing, oracle, prefix_trie, quality, repeats, token_files, toxicity
 from skybasin.llm.common import table, tokenizer_file
 from skybasin.session import working_dir
 
@@ -128,6 +128,20 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+@register()
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    known = F.coalesce(~toxicity.held_out("doc_id"), F.lit(False))
+    model = quality.train(docs.filter(known), labels.filter(known))
+    scored = docs.select(
+        "doc_id",
+        F.coalesce(toxicity.held_out("doc_id"), F.lit(False)).alias("held_out"),
+        quality.score("text", model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def manifest_digest(docs: DataFrame) -> DataFrame:
     """The manifest's digests, with every second document's line breaks lost since its leaf was taken."""
     names = [F.col(c) for c in manifest.COLUMNS[:-1]]
