@@ -46,7 +46,12 @@ def test_a_hot_text_is_spread_over_partitions(spark, docs_of, monkeypatch):
     monkeypatch.setattr(exact_dedup, "HOT_COPIES", 50)
     docs = docs_of([(i, "same" if i % 3 == 0 else f"text {i}") for i in range(900)])
     marked = exact_dedup.mark_copies(docs, keep="largest").withColumn("p", F.spark_partition_id())
-    rows = marked.select("row.doc_id", "keep_id", "group_size", "kept", "p").collect()
+    # A few hundred short rows would be read as one partition.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = marked.select("row.doc_id", "keep_id", "group_size", "kept", "p").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     hot = [r for r in rows if r.doc_id % 3 == 0]
     assert {(r.keep_id, r.group_size) for r in hot} == {(897, 300)}
     assert [r.doc_id for r in hot if r.kept] == [897]
