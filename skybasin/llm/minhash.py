@@ -6,8 +6,10 @@
 2.  Classes that share a band key are candidates.  How many places of two signatures differ, by
     xor and bit counts, gives their similarity; of the differing share of minima only
     ``1 - 2 ** -BITS`` show in the low bits, which the threshold on counts takes into account.
-3.  Each bucket of a band names its member with most bucket mates as its centre, and centre and
-    members are compared: one pair per member.  A group of copies is mostly joined by that.
+3.  Each bucket of a band names a centre, at first its member with most bucket mates.  In a round a
+    class is compared with one of its buckets' centres; what is linked becomes a component, and the next
+    round, with other centres, is only for buckets that still hold several components.  So there are no
+    more pairs than classes in a round, and a group of copies is mostly joined by that.
 4.  Members of one bucket that are still in different components are compared with each other
     where their signatures allow a link.  That join emits only such pairs.
 5.  Every link is confirmed on the full sets.
@@ -40,6 +42,10 @@ HASHES, BITS = 512, 2
 #: Rows of a band where there are minima for it, and the chance that all bands miss a pair at the threshold.
 ROWS, MISS = 4, 2.1e-8
 SIGMAS = 5
+#: Rounds in which a class is compared with one centre each.
+ROUNDS = 5
+#: Rounds end, and all that is left is compared, when fewer than one pair in so many is a link.
+WORTH = 20
 _WORDS = HASHES * BITS // 64
 _SIGNATURE = [f"s{i}" for i in range(_WORDS)]
 
@@ -213,25 +219,21 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         "shingles",
     )
 
-    centres = (
-        members.join(mates, "id")
-        .groupBy("key")
-        .agg(F.max(F.struct("mates", (-F.col("id")).alias("id"))).alias("best"))
-        .select("key", (-F.col("best.id")).alias("centre"))
-    )
-    spokes = members.join(centres, "key").filter("id <> centre")
-    spokes = _ordered(spokes.select(F.col("centre").alias("a"), F.col("id").alias("b")))
-    first_tests = stored(_confirm(_likely(spokes, signatures, percent), shingles, percent), "tests")
-    labels = components(first_tests.filter("linked"))
+    members = members.join(mates, "id")
+    tests, labels = None, None
+    for turn in range(ROUNDS):
+        pairs = _spokes(members, labels, turn)
+        if tests is not None:
+            pairs = pairs.join(tests, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "spokes")
+        tested = stored(_confirm(_likely(pairs, signatures, percent), shingles, percent), "tests")
+        tests = tested if tests is None else tests.unionByName(tested)
+        if turn and tested.filter("linked").count() * WORTH < pairs.count():
+            break
+        labels = components(tests.filter("linked"))
 
     # Buckets that still hold several components.
-    labelled = members.join(labels, "id", "left").select(
-        "key", "band", "id", F.coalesce("component", "id").alias("component")
-    )
-    mixed = labelled.groupBy("key").agg(
-        F.min("component").alias("lowest"), F.max("component").alias("highest")
-    ).filter("lowest < highest")
-    open_rows = labelled.join(mixed.select("key"), "key").join(signatures, "id")
+    open_rows = _open(members, labels).select("key", "band", "id", "component").join(signatures, "id")
     left, right = open_rows.alias("l"), open_rows.alias("r")
     across = left.join(
         right,
@@ -242,9 +244,9 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         # A pair comes from the first of the bands that it shares.
         & ~F.arrays_overlap(F.expr("slice(l.bands, 1, l.band)"), F.expr("slice(r.bands, 1, r.band)")),
     ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    untested = across.distinct().join(first_tests, ["a", "b"], "left_anti")
+    untested = across.distinct().join(tests, ["a", "b"], "left_anti")
     second_tests = _confirm(untested, shingles, percent)
-    links = first_tests.filter("linked").select("a", "b").union(second_tests.filter("linked").select("a", "b"))
+    links = tests.filter("linked").select("a", "b").union(second_tests.filter("linked").select("a", "b"))
     final = components(links).select(F.col("id").alias("class"), "component")
 
     # The first of a component, for the classes that have links; other classes have their own.
@@ -265,6 +267,33 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
     )
 
 
+def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members, with their component, of the buckets that hold several components."""
+    if labels is None:
+        return members.withColumn("component", F.col("id"))
+    labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = labelled.groupBy("key").agg(
+        F.min("component").alias("lowest"), F.max("component").alias("highest")
+    ).filter("lowest < highest")
+    return labelled.join(mixed.select("key"), "key")
+
+
+def _spokes(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Pairs to compare in a round: each class with one member of another component in one of its open buckets.
+
+    A bucket's centre is at first its member with most mates, in later rounds another one each time.
+    Of its buckets' centres a class takes the one that is centre to most, so there are no more pairs than classes.
+    """
+    rows = _open(members, labels).select("key", "id", "component", "mates")
+    rank = F.col("mates") if not turn else F.xxhash64(F.lit(turn), "id")
+    centres = rows.groupBy("key").agg(
+        F.max(F.struct(rank.alias("rank"), F.col("id").alias("centre"), F.col("component").alias("other"))).alias("c")
+    )
+    pairs = rows.join(centres.select("key", "c.*"), "key").filter("component <> other")
+    best = pairs.groupBy("id").agg(F.max(F.struct("rank", "centre")).alias("best"))
+    return _ordered(best.select(F.col("best.centre").alias("a"), F.col("id").alias("b")))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

@@ -143,3 +143,23 @@ def test_chains_stars_and_rings(spark):
     assert {found[i] for i in range(20, 61)} == {20} and {found[i] for i in range(100, 160)} == {100}
     assert (found[5], found[7], found[9]) == (5, 5, 5) and 3 not in found and 4 not in found
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_round_compares_no_more_pairs_than_there_are_classes(docs_of, monkeypatch):
+    """A group of near copies, each other in one place, and texts of their own."""
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(100)]
+    rows += [(500 + i, " ".join(f"t{i}-{j}" for j in range(30))) for i in range(100)]
+    counts, plain = [], minhash.stored
+
+    def counted(df, purpose, **options):
+        out = plain(df, purpose, **options)
+        if purpose == "spokes":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicate_rows(docs_of(rows)).collect()}
+    assert all(found[i] == 0 for i in range(100)) and all(found[i] == i for i in range(500, 600))
+    assert 1 <= len(counts) <= minhash.ROUNDS and all(n <= 99 for n in counts)
+    assert counts == sorted(counts, reverse=True)
