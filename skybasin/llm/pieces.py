@@ -6,10 +6,14 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bounds of a cache in one Python worker; a full cache starts anew.
 MAX_PIECES = 400_000
 MAX_CHARS = 8_000_000
+#: The same for a cache of Arrow pieces.
+MAX_BYTES = 32_000_000
 #: Characters of text cut into pieces at once.
 CHUNK_CHARS = 1_000_000
 
@@ -33,16 +37,21 @@ class PieceCache:
         self._used = 0
 
     def _add(self, pieces: list) -> None:
-        ids, sizes = self._encode(pieces)
         first, last = len(self._code), len(self._code) + len(pieces)
+        self._keep(pieces, first)
+        self._chars += sum(map(len, pieces))
+        self._code.update(zip(pieces, range(first, last)))
+
+    def _keep(self, pieces: list, first: int) -> None:
+        """Encode pieces whose numbers start with ``first``."""
+        ids, sizes = self._encode(pieces)
+        last = first + len(pieces)
         self._flat = _room(self._flat, self._used + len(ids))
         self._start, self._size = _room(self._start, last), _room(self._size, last)
         self._flat[self._used : self._used + len(ids)] = ids
         self._size[first:last] = sizes
         self._start[first:last] = self._used + np.cumsum(sizes) - sizes
         self._used += len(ids)
-        self._chars += sum(map(len, pieces))
-        self._code.update(zip(pieces, range(first, last)))
 
     def codes(self, pieces: list) -> np.ndarray:
         """A number for each piece; new pieces are encoded.  It holds until the next call."""
@@ -69,6 +78,29 @@ class PieceCache:
         return ids, np.diff(edges)
 
 
+class ArrowCache(PieceCache):
+    """Ids of pieces that come as Arrow arrays, compared by Arrow's hash tables, byte for byte."""
+
+    def _clear(self) -> None:
+        super()._clear()
+        self._known = pa.array([], pa.binary())
+
+    def ids_of(self, pieces: pa.BinaryArray) -> Encoded:
+        """Ids of all pieces one after the other, and how many each has."""
+        if len(self._known) > self._most or self._known.nbytes > MAX_BYTES:
+            self._clear()
+        found = pieces.dictionary_encode()
+        codes = pc.index_in(found.dictionary, value_set=self._known)
+        new = found.dictionary.filter(pc.is_null(codes))
+        codes = codes.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        if len(new):
+            first = len(self._known)
+            self._keep(new.to_pylist(), first)
+            codes[codes < 0] = np.arange(first, first + len(new))
+            self._known = pa.concat_arrays([self._known, new])
+        return self.of(codes[found.indices.to_numpy(zero_copy_only=False)])
+
+
 def _room(array: np.ndarray, wanted: int) -> np.ndarray:
     if wanted <= len(array):
         return array

@@ -30,16 +30,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from skybasin.llm.bpe import slices
 from skybasin.llm.common import stored, text_of
-from skybasin.llm.pieces import Encoded, PieceCache, chunks
+from skybasin.llm.pieces import ArrowCache, Encoded, PieceCache
+from skybasin.llm.shingles import _SPACE
 
-#: The dictionary is trained on at most this many documents and characters of each.
+#: The dictionary is trained on at most this many pieces of documents, and characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 500, 8_000
 DICTIONARY_BYTES = 64 * 1024
 #: A block is closed when its frames reach this size.
 BLOCK_BYTES = 1 << 20
 LEVEL = 1
-MAX_WORDS = 700_000
+#: Bounds of the caches of words and of their parts in one Python worker.
+MAX_WORDS, MAX_PARTS = 2_000_000, 800_000
 #: Parts of words in one text for the library.
 GROUP = 64
 
@@ -70,8 +73,8 @@ class WordTokenizer:
         self._is_end, self._cut = self._word_ends(path)
         self._special_bytes = [s.lower().encode() for s in self._special]
         self._lowers = self._library.normalizer is not None and self._library.normalizer.normalize_str("AZ") == "az"
-        self._cache = PieceCache(self._encode_words, MAX_WORDS)
-        self._parts = PieceCache(self._encode_parts)
+        self._cache = ArrowCache(self._encode_words, MAX_WORDS)
+        self._parts = PieceCache(self._encode_parts, MAX_PARTS)
 
     @staticmethod
     def _word_ends(path: str):
@@ -144,13 +147,27 @@ class WordTokenizer:
         low = raw.lower()
         return raw if any(s in low for s in self._special_bytes) else low
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for part in chunks(texts):
-            # bytes.split() splits at ASCII white space and nowhere else.
-            ids, sizes = self._cache.ids([self._lower(x).split() for x in part])
-            out += np.split(ids, np.cumsum(sizes)[:-1])
-        return out
+    def encode(self, texts: pa.Array) -> Encoded:
+        """Ids of all texts one after the other, and how many each has; the texts are one of Spark's batches."""
+        raw = texts.cast(pa.binary()).to_pylist()
+        joined = b"\n".join(raw)
+        if self._lowers:
+            low = joined.lower()
+            special = any(s in low for s in self._special_bytes)
+            joined = b"\n".join(self._lower(x.decode()) for x in raw) if special else low
+        # Words end at ASCII white space and nowhere else.
+        data = np.frombuffer(joined, np.uint8)
+        inside = np.concatenate([[False], ~_SPACE[data], [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        places = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+        words = pa.Array.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[inside[1:-1]])]
+        )
+        ids, sizes = self._cache.ids_of(words)
+        firsts = np.cumsum([0, *(len(x) + 1 for x in raw)])
+        counts = np.diff(np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, firsts)])
+        return ids, counts
 
 
 @lru_cache(maxsize=4)
@@ -166,6 +183,20 @@ def train_dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
+def _sample(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
+    """At most SAMPLE_DOCS pieces of at most SAMPLE_CHARS characters, from anywhere in texts of any id, null included."""
+    text = text_of(F.col(f"`{text_col}`"))
+    # Rows are told apart by id and length, so that rows without an id are drawn like all others.
+    draw = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("bigint"), F.octet_length(text)), F.lit(1 << 40))
+    rows = docs.select(draw.alias("draw"), text.alias("text"))
+    found = docs.count()
+    if found > 4 * SAMPLE_DOCS:
+        rows = rows.filter(F.col("draw") < int((1 << 40) * 2 * SAMPLE_DOCS / found))
+    start = F.pmod(F.xxhash64("draw"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1)).cast("int")
+    piece = F.substring(F.col("text"), start + 1, F.lit(SAMPLE_CHARS))
+    return [r.piece for r in rows.select("draw", piece.alias("piece")).orderBy("draw", "piece").limit(SAMPLE_DOCS).collect()]
+
+
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
@@ -182,17 +213,12 @@ def write_token_files(
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(F.col(f"`{text_col}`")).alias("text"))
 
-    # First the ids alone: the driver sees long texts only of the documents chosen.
-    ids = [r[0] for r in rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
-    chosen = (
-        rows.filter(F.col("doc_id").isin(ids))
-        .select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
     words = tokenizer(tokenizer_path)
     kind = f"<u{words.width}"
-    dictionary = train_dictionary([x.astype(kind).tobytes() for x in words.encode([r.text for r in chosen])])
+    samples = _sample(docs, id_col, text_col)
+    ids, counts = words.encode(pa.array(samples, pa.string()))
+    ends = np.cumsum(counts)
+    dictionary = train_dictionary([ids[a:b].astype(kind).tobytes() for a, b in zip(ends - counts, ends)])
     fingerprint = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame(
         [(fingerprint, bytearray(dictionary), words.width)], "hash string, data binary, width int"
@@ -214,12 +240,17 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _ARROW)], _NAMES)
 
         for batch in batches:
-            doc_ids, texts = (c.to_pylist() for c in batch.columns)
-            for at in range(0, len(texts), 200):
-                for doc_id, tokens in zip(doc_ids[at:], encoder.encode(texts[at : at + 200])):
-                    frame = pack(np.append(tokens, end_id).astype(kind).tobytes())
+            for part in slices(batch):
+                tokens, sizes = encoder.encode(part.column(1))
+                places = np.cumsum(sizes)
+                flat = memoryview(np.insert(tokens, places, end_id).astype(kind).tobytes())
+                stops = (places + np.arange(1, len(sizes) + 1)) * encoder.width
+                start = 0
+                for doc_id, size, stop in zip(part.column(0).to_pylist(), sizes.tolist(), stops.tolist()):
+                    frame = pack(flat[start:stop])
+                    start = stop
                     ids.append(doc_id)
-                    counts.append(len(tokens) + 1)
+                    counts.append(size + 1)
                     frames.append(frame)
                     held += len(frame)
                     if held >= BLOCK_BYTES:
@@ -228,7 +259,9 @@ def write_token_files(
         if ids:
             yield close()
 
-    in_order = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows without an id, or of one id, are dealt out by how their texts begin.
+    dealt = rows.withColumn("begins", F.substring("text", 1, 16)).repartitionByRange("doc_id", "begins").drop("begins")
+    in_order = dealt.sortWithinPartitions("doc_id", "text")
     in_order.mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 

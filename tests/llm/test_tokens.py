@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -36,12 +37,19 @@ def test_numpy_rounds_give_the_tokenizers_ids(monkeypatch, most):
     assert own.decode(wanted[0][:1] + [255, 127]) == library.decode(wanted[0][:1] + [255, 127], skip_special_tokens=False)
 
 
-def test_words_by_parts_give_the_tokenizers_ids(monkeypatch):
-    monkeypatch.setattr(pieces, "CHUNK_CHARS", 500)
+@pytest.mark.parametrize("most", [token_files.MAX_WORDS, 20])
+def test_words_by_parts_give_the_tokenizers_ids(monkeypatch, most):
+    monkeypatch.setattr(token_files, "MAX_WORDS", most)
+    monkeypatch.setattr(token_files, "MAX_PARTS", most)
     library, own = Tokenizer.from_file(WORDS), token_files.WordTokenizer(WORDS)
     texts = _texts(3000, 4) + ["<|STARTOFTEXT|> Ab", "", " \n"]
     wanted = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
-    assert [x.tolist() for x in own.encode(texts)] == wanted
+    found = []
+    for at in range(0, len(texts), 250):
+        ids, sizes = own.encode(pa.array(texts).slice(at, 250))
+        found += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert found == wanted
+    assert [len(x) for x in own.encode(pa.array([], pa.string()))] == [0, 0]
 
 
 def test_columns_of_rows_stay(docs_of):
@@ -95,6 +103,21 @@ def test_short_documents_profit_from_the_dictionary(spark, docs_of):
     assert blocks[0] < blocks[1] * 2 * 0.6
 
 
+def test_most_rows_without_an_id_or_with_one(spark, docs_of):
+    """They are written in order of their texts, by several tasks, and drawn for the dictionary like others."""
+    rows = [(None, f"text number {i}") for i in range(300)] + [(4, f"more {i}") for i in range(300)] + [(i, "few") for i in range(9)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = _written(spark, docs_of(rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{folder}/blocks").filter("first_id IS NULL").select("shard").distinct().count() > 1
+    found = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == sorted([i for i, _ in rows], key=lambda i: (i is not None, i or 0))
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
+    assert len(token_files._sample(docs_of(rows), "doc_id", "text")) == token_files.SAMPLE_DOCS
+
+
 def test_empty_table_and_damaged_dictionary(spark, docs_of):
     assert token_files.read_token_files(spark, _written(spark, docs_of([]))).count() == 0
     folder = _written(spark, docs_of([(1, "a b")]))
