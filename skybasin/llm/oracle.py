@@ -213,3 +213,33 @@ WITH {_crc("crcs", "conv_id", "conversations")}, turns AS (
 SELECT c.conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
 FROM counted c JOIN sums USING (prefix, depth)
 """
+
+REPEATS = """
+WITH texts AS (
+    SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), pieces AS (
+    SELECT doc_id, n, base, substr(digits, 2 * base + 1, 1000) AS piece
+    FROM (SELECT doc_id, n, digits, unnest(range(0, greatest(n - 399, 0), 100)) AS base FROM texts)
+), windows AS (
+    SELECT doc_id, base + k AS i, md5(substr(piece, 2 * k + 1, 800)) AS w
+    FROM (SELECT doc_id, base, piece, unnest(range(0, least(100, n - 399 - base))) AS k FROM pieces)
+), hits AS (
+    SELECT doc_id, i FROM windows SEMI JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)
+), marked AS (
+    SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, true) AS opens FROM hits
+), runs AS (
+    SELECT doc_id, i, count(*) FILTER (WHERE opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), spans AS (
+    SELECT doc_id, min(i) AS start, max(i) + 400 AS stop FROM runs GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, start, stop, lag(stop, 1, 0) OVER (PARTITION BY doc_id ORDER BY start) AS before FROM spans
+), cut AS (
+    SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans, max(stop) AS last,
+        string_agg(substr(digits, CAST(2 * before + 1 AS BIGINT), CAST(2 * (start - before) AS BIGINT)), '' ORDER BY start) AS kept
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept || substr(digits, CAST(2 * last + 1 AS BIGINT)), digits))) AS kept_sha256,
+    CAST(n_removed IS NOT NULL AS INTEGER) AS repeated
+FROM texts LEFT JOIN cut USING (doc_id)
+"""

@@ -72,7 +72,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register()
+@register(oracle.REPEATS)
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select(
@@ -81,6 +81,8 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # Whether the document had any, as a flag like op7's.
+        (F.col("n_removed") > 0).cast("int").alias("repeated"),
     )
 
 
