@@ -28,3 +28,16 @@ def flood_message_id() -> Column:
 
 def _number(name: str) -> Column:
     return number_text(F.col(name).cast("string"))
+
+
+def content_id(source: Column, fields: Column) -> Column:
+    """The id that the producers give a record, from the map of its fields as texts."""
+
+    def field(name: str) -> Column:
+        return F.try_element_at(fields, F.lit(name))
+
+    return (
+        F.when(source == "air_quality", message_id(field("timestamp"), field("province"), number_text(field("pm25"))))
+        .when(source == "weather", message_id(field("timestamp"), field("province"), number_text(field("temperature"))))
+        .when(source == "flood", message_id(field("date"), field("province"), field("flood_risk")))
+    )

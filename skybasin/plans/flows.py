@@ -20,7 +20,7 @@ from skybasin.plans.alerts import flood_alert, overall_alert
 from skybasin.schemas import TABLES
 from skybasin.session import side_by_side
 from skybasin.sources import reference
-from skybasin.sources.tables import TableStore
+from skybasin.sources.tables import TRIES, TableStore
 
 HOURLY = ("air_quality", "weather")
 DAILY = ("flood",)
@@ -39,6 +39,7 @@ def bronze_to_silver(
     Returns those days and the metrics of the run (see ``run_flow``).
     """
     days, next_marks, metrics = _to_silver(store, run_ts, sources, as_of, strict, checks)
+    refresh(store, run_ts, days, as_of, gold=False)
     store.upsert("watermarks", next_marks)
     return days, metrics
 
@@ -58,29 +59,49 @@ def _to_silver(
     def clean(source: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         mark = watermarks.stored_mark(marks, flow, source)
         bronze = store.read_from_day(fv.BRONZE[source], mark and mark[:10])
-        # Scanned and cleaned once; rows, rejects, counts and the mark come from here.
-        checked = checks[source](cleaning.since(bronze, mark), run_ts, strict=strict).checkpoint()
-        table = fv.SILVER[source]
-        cleaned = last_write(
-            quality.valid(checked), TABLES[table].key, ["_ingested_at", "message_id"]
-        )
-        days, changes = store.upsert_counted(table, cleaned)
-        return (
-            days,
-            cleaning.quarantine(checked, source, run_ts).union(cleaning.undated(checked, source, run_ts)),
-            watermarks.next_mark(checked, flow, source),
-            cleaning.cleaning_counts(checked, source).crossJoin(changes),
+        checked, days, rejects, metrics = clean_source(
+            store, source, cleaning.since(bronze, mark), run_ts, strict, checks
         )
+        return days, rejects, watermarks.next_mark(checked, flow, source), metrics
 
     done = side_by_side(store.spark, [partial(clean, source) for source in sources])
     touched, rejects, next_marks, metrics = (reduce(DataFrame.union, parts) for parts in zip(*done))
     store.append("silver_rejects", rejects)
-
     days = store.day(as_of) if as_of else touched.distinct().checkpoint()
-    if not days.isEmpty():
+    return days, next_marks, metrics.checkpoint()
+
+
+def clean_source(
+    store: TableStore,
+    source: str,
+    bronze: DataFrame,
+    run_ts: str,
+    strict: bool = False,
+    checks: Mapping[str, cleaning.Cleaner] = cleaning.CHECKS,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Clean raw rows of a source and upsert them; returns the checked rows, days, rejects and metrics."""
+    # Scanned and cleaned once; rows, rejects, counts and the mark come from here.
+    checked = checks[source](bronze, run_ts, strict=strict).checkpoint()
+    table = fv.SILVER[source]
+    cleaned = last_write(quality.valid(checked), TABLES[table].key, ["_ingested_at", "message_id"])
+    days, changes = store.upsert_counted(table, cleaned)
+    rejects = cleaning.quarantine(checked, source, run_ts).union(cleaning.undated(checked, source, run_ts))
+    return checked, days, rejects, cleaning.cleaning_counts(checked, source).crossJoin(changes)
+
+
+def refresh(store: TableStore, run_ts: str, days: DataFrame, as_of: str | None = None, gold: bool = True) -> None:
+    """Join the sources of some days and, if wanted, score them; again if another flow refreshed meanwhile."""
+    if days.isEmpty():
+        return
+    for _ in range(TRIES):
+        turn = store.turn()
         inputs = [store.read(fv.SILVER[source], days) for source in fv.SOURCES]
         store.upsert(fv.SILVER["joined"], join_sources(*inputs, run_ts=run_ts, as_of=as_of))
-    return days, next_marks, metrics.checkpoint()
+        if gold:
+            silver_to_gold(store, run_ts, days)
+        if store.end_turn(turn):
+            return
+    raise RuntimeError(f"overtaken by other flows {TRIES} times")
 
 
 def silver_to_gold(
@@ -112,8 +133,7 @@ def run_flow(
     two of its silver table).  ``checks`` gives the cleaner of each source.
     """
     days, next_marks, metrics = _to_silver(store, run_ts, sources, as_of, False, checks)
-    if not days.isEmpty():
-        silver_to_gold(store, run_ts, days)
+    refresh(store, run_ts, days, as_of)
     store.upsert("watermarks", next_marks)
     return metrics
 

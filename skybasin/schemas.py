@@ -138,6 +138,9 @@ TABLES: dict[str, Table] = {
             "topic string, key string, value string, partition int, offset bigint, copy int, "
             "_ingested_at string"
         ), (), "_ingested_at"),
+        Table("bronze_late", _schema(
+            "source string, message_id string, topic string, key string, value string, _ingested_at string"
+        ), (), "_ingested_at"),
         Table(fv.SILVER["air_quality"], SILVER["air_quality"],
               ("province", "hour_bucket"), "hour_bucket"),
         Table(fv.SILVER["weather"], SILVER["weather"],

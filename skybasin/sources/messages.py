@@ -6,8 +6,11 @@ of files with the columns ``topic``, ``key`` and ``value``, and those of ``ARRIV
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from skybasin import fixed_values as fv
 from skybasin.schemas import ARRIVAL, EXTRA, MESSAGE, RAW
@@ -44,15 +47,24 @@ def read_stream(
     return reader.schema(MESSAGE).load(path)
 
 
-def envelope(records: DataFrame, source: str) -> DataFrame:
-    """Records as messages: the id is the key, the JSON of the row the value."""
+def envelope(records: DataFrame, source: str, beside: Sequence[str] = ()) -> DataFrame:
+    """Records as messages: the id is the key, the JSON of the row the value; columns ``beside`` it stay columns."""
     return records.select(
         F.lit(fv.TOPICS[source]).alias("topic"),
         F.col("message_id").alias("key"),
-        F.to_json(F.struct(*records.columns)).alias("value"),
+        F.to_json(F.struct(*(c for c in records.columns if c not in beside))).alias("value"),
+        *beside,
     )
 
 
+def send_stream(
+    messages: DataFrame, checkpoint: str, path: str, format: str = "parquet", available_now: bool = False, **options: str
+) -> StreamingQuery:
+    """Send a stream of messages to a folder; its commit log makes a restart add no message twice."""
+    writer = messages.writeStream.format(format).options(**options).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+
+
 def send(messages: DataFrame, format: str = "kafka", path: str | None = None, **options: str) -> None:
     messages.write.format(format).mode("append").options(**options).save(path)
 

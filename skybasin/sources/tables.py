@@ -2,6 +2,9 @@
 
 The partition column ``_date`` is the first ten characters of the column a table
 names as ``day_from``, or ``undated``; the column itself keeps its text.
+
+A table without days (a dimension, the marks) is replaced as a whole, version by version (``versions``): readers
+keep what they see, and a writer that another one overtook merges again with the newer version.
 """
 
 from __future__ import annotations
@@ -15,9 +18,12 @@ from skybasin.operators.quality import repeated_keys
 from skybasin.operators.upsert import CHANGE, change_counts, upsert
 from skybasin.schemas import TABLES, Table
 from skybasin.session import shared_dir
+from skybasin.sources.versions import Versions
 
 DAY = "_date"
 UNDATED = "undated"
+#: How often a writer that is overtaken starts over.
+TRIES = 20
 
 
 class TableStore:
@@ -33,6 +39,11 @@ class TableStore:
         """Create the tables of all layers that do not exist yet."""
         for table in TABLES.values():
             nothing = self.spark.range(0).limit(0)
+            if not table.day_from:
+                versions = Versions(self.spark, self.path(table.name))
+                if not versions.current()[0]:
+                    self._publish(versions, 1, self._shaped(table, nothing))
+                continue
             self._writer(table, self._shaped(table, nothing)).mode("ignore").parquet(
                 self.path(table.name)
             )
@@ -47,7 +58,8 @@ class TableStore:
         schema = table.schema
         if table.day_from:
             schema = T.StructType([*schema.fields, T.StructField(DAY, T.StringType())])
-        df = self.spark.read.schema(schema).parquet(self.path(name))
+        path = self.path(name) if table.day_from else Versions(self.spark, self.path(name)).current()[1]
+        df = self.spark.read.schema(schema).parquet(path)
         if days is not None:
             # Spark prunes by a joined side that has a filter of its own.
             df = df.join(F.broadcast(days.filter(F.col(DAY) >= "")), DAY, "left_semi")
@@ -62,6 +74,14 @@ class TableStore:
 
     def append(self, name: str, rows: DataFrame) -> None:
         table = TABLES[name]
+        if not table.day_from:
+            versions = Versions(self.spark, self.path(name))
+            for _ in range(TRIES):
+                number, folder = versions.current()
+                before = self.spark.read.schema(table.schema).parquet(folder)
+                if self._publish(versions, number + 1, before.union(self._shaped(table, rows))):
+                    return
+            raise RuntimeError(f"{name}: overtaken by other writers {TRIES} times")
         self._writer(table, self._shaped(table, rows)).mode("append").parquet(self.path(name))
 
     def days_of(self, name: str, rows: DataFrame) -> DataFrame:
@@ -86,8 +106,10 @@ class TableStore:
         """``upsert``, and how many rows it inserted and modified."""
         table = TABLES[name]
         updates = updates.checkpoint()
-        days = self.days_of(name, updates).checkpoint() if table.day_from else None
-        if days is not None and days.isEmpty():
+        if not table.day_from:
+            return None, self._replace(name, updates, count)
+        days = self.days_of(name, updates).checkpoint()
+        if days.isEmpty():
             return days, change_counts(updates.withColumn(CHANGE, F.lit("kept"))) if count else None
         merged = upsert(self.read(name, days), updates, table.key, with_change=count)
         counts = None
@@ -95,16 +117,45 @@ class TableStore:
             # Counted from what is written, so the tables are joined once.
             merged = merged.checkpoint()
             counts = change_counts(merged)
-        if days is None:
-            # An unpartitioned table (a dimension, the marks) is replaced whole.
-            merged = merged if count else merged.checkpoint()
-            self._writer(table, self._shaped(table, merged)).mode("overwrite").parquet(self.path(name))
-        else:
-            self._writer(table, self._shaped(table, merged)).mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).parquet(self.path(name))
+        self._writer(table, self._shaped(table, merged)).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).parquet(self.path(name))
         return days, counts
 
+    def _replace(self, name: str, updates: DataFrame, count: bool) -> DataFrame | None:
+        """Merge updates with the version that counts, and again if another writer's comes first."""
+        table, versions = TABLES[name], Versions(self.spark, self.path(name))
+        for _ in range(TRIES):
+            number, folder = versions.current()
+            before = self.spark.read.schema(table.schema).parquet(folder)
+            merged = upsert(before, updates, table.key, with_change=count)
+            if count:
+                merged = merged.checkpoint()
+            if self._publish(versions, number + 1, self._shaped(table, merged)):
+                return change_counts(merged) if count else None
+        raise RuntimeError(f"{name}: overtaken by other writers {TRIES} times")
+
+    @staticmethod
+    def _publish(versions: Versions, number: int, rows: DataFrame) -> bool:
+        folder = versions.folder(number)
+        rows.write.parquet(folder)
+        published = versions.publish(number, folder)
+        if not published:
+            versions.discard(folder)
+        return published
+
+    def turn(self) -> int:
+        """How many refreshes of the joined days there have been (see ``end_turn``)."""
+        return Versions(self.spark, self.path("_refreshes")).current()[0]
+
+    def end_turn(self, turn: int) -> bool:
+        """Count a refresh that began at ``turn``; false if another one was counted meanwhile.
+
+        Two flows that refresh days at once may each have read sources that the other one was
+        about to change; the one that is told so reads and joins its days again.
+        """
+        return Versions(self.spark, self.path("_refreshes")).publish(turn + 1, "refresh")
+
     def changes(self, name: str, updates: DataFrame) -> DataFrame:
         """What ``upsert`` would do to each row, in the column ``_change``."""
         days = self.days_of(name, updates) if TABLES[name].day_from else None
@@ -124,8 +175,6 @@ class TableStore:
         return shaped.withColumn(DAY, _day(table)) if table.day_from else shaped
 
     def _writer(self, table: Table, rows: DataFrame):
-        if not table.day_from:
-            return rows.write
         if DAY not in rows.columns:
             rows = rows.withColumn(DAY, _day(table))
         # Gathers a day into few files and splits a day that is too large for one;

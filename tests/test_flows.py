@@ -10,6 +10,7 @@ from skybasin.operators import cleaning
 from skybasin.plans import flows
 from skybasin.schemas import RAW, TABLES
 from skybasin.sources import files
+from skybasin.sources.versions import KEPT, Versions
 
 RUN = "2026-05-01T00:00:00+00:00"
 LATER = "2026-05-02T00:00:00+00:00"
@@ -217,3 +218,111 @@ def test_metrics_rejects_and_cleaners_of_a_flow(loaded):
 
     again = flows.run_flow(loaded, LATER, ["flood"], checks=cleaning.CHECKS | {"flood": nothing}).collect()
     assert [tuple(r) for r in again] == [("flood", 0, 0, 0, 0, 0)]
+
+
+def test_a_version_counts_when_its_pointer_is_there(store):
+    versions = Versions(store.spark, store.path("things"))
+    assert versions.current() == (0, None)
+    first, broken = versions.folder(1), versions.folder(2)
+    store.spark.range(3).write.parquet(first)
+    assert versions.publish(1, first) and versions.current() == (1, first)
+    # A writer that dies before the pointer moves leaves a folder that nobody reads.
+    store.spark.range(9).write.parquet(broken)
+    assert versions.current() == (1, first)
+    # Of two writers that saw version 1 one publishes the next.
+    mine, other = versions.folder(2), versions.folder(2)
+    store.spark.range(4).write.parquet(mine)
+    store.spark.range(5).write.parquet(other)
+    assert versions.publish(2, other) and not versions.publish(2, mine)
+    assert versions.current() == (2, other) and store.spark.read.parquet(other).count() == 5
+
+
+def test_old_versions_go_and_readers_keep_theirs(store):
+    row = lambda i: store.spark.createDataFrame([(f"P{i}", 1.0, 2.0, "Thailand", RUN)], TABLES[fv.DIM_LOCATION].schema)
+    store.upsert(fv.DIM_LOCATION, row(0))
+    seen = store.read(fv.DIM_LOCATION)
+    store.upsert(fv.DIM_LOCATION, row(1))
+    assert seen.count() == 1 and store.read(fv.DIM_LOCATION).count() == 2
+    for i in range(2, 6):
+        store.upsert(fv.DIM_LOCATION, row(i))
+    versions = Versions(store.spark, store.path(fv.DIM_LOCATION))
+    assert store.read(fv.DIM_LOCATION).count() == 6
+    assert len(versions.numbers()) == KEPT
+    assert sum(name.startswith("v") for name in os.listdir(store.path(fv.DIM_LOCATION))) == KEPT
+
+
+def test_a_writer_that_is_overtaken_merges_again(store, monkeypatch):
+    def mark(flow):
+        return store.spark.createDataFrame([(flow, "air_quality", RUN)], TABLES["watermarks"].schema)
+
+    publish, others = Versions.publish, ["hourly"]
+
+    def slow(self, number, folder):
+        # Another flow's marks are published between this one's reading and its own turn.
+        if others and self.root.endswith("watermarks"):
+            store.upsert("watermarks", mark(others.pop()))
+        return publish(self, number, folder)
+
+    monkeypatch.setattr(Versions, "publish", slow)
+    store.upsert("watermarks", mark("daily"))
+    assert sorted(r.flow for r in store.read("watermarks").collect()) == ["daily", "hourly"]
+
+
+def test_flows_that_overlap_leave_both_in_the_joined_days(store, monkeypatch):
+    """The daily flow runs between the hourly one's reading of the sources and the end of its refresh."""
+    add(store, "air_quality", air("A", 10, "5", "2026-04-21T10:00:00"))
+    add(store, "flood", flood("A", "High", "2026-04-21T10:00:00"), flood("B", "Low", "2026-04-21T10:00:00"))
+    join, waiting = flows.join_sources, [True]
+
+    def joined(*inputs, **options):
+        out = join(*inputs, **options).checkpoint()
+        if waiting:
+            waiting.pop()
+            flows.daily_flow(store, RUN)
+        return out
+
+    monkeypatch.setattr(flows, "join_sources", joined)
+    flows.run_flow(store, RUN, flows.HOURLY)
+    for name in (fv.SILVER["joined"], fv.FACT):
+        rows = {r.province: (r.pm25, r.flood_risk) for r in store.read(name).collect()}
+        assert rows == {"A": (5.0, "High"), "B": (None, "Low")}
+    assert store.turn() == 2
+
+
+def test_a_stream_of_silver_takes_up_what_appends_bring(store):
+    from skybasin.streaming.silver import start_silver
+
+    metrics = []
+
+    def run():
+        start_silver(
+            store, store.path("_silver"), available_now=True, clock=lambda: RUN, on_batch=lambda _, rows: metrics.append(rows)
+        ).awaitTermination()
+        return {r.source: (r.read, r.valid, r.inserted, r.modified) for r in (metrics.pop() if metrics else [])}
+
+    add(store, "air_quality", air("A", 10, "5", "2026-04-21T10:00:00"), air("A", 11, "no", "2026-04-21T10:00:00"))
+    assert run()["air_quality"] == (2, 1, 1, 0)
+    # An older stamp than the newest that was read, as of an append that was under way.
+    add(store, "air_quality", air("B", 9, "7", "2026-04-21T09:00:00"))
+    add(store, "weather", weather("A", 10, "30", "2026-04-21T08:00:00"))
+    found = run()
+    assert found["air_quality"] == (1, 1, 1, 0) and found["weather"] == (1, 1, 1, 0) and found["flood"] == (0, 0, 0, 0)
+    assert run() == {}
+    rows = {r.province: (r.pm25, r.temperature) for r in store.read(fv.FACT).collect()}
+    assert rows == {"A": (5.0, 30.0), "B": (7.0, None)}
+    assert store.read("silver_rejects").count() == 1
+
+
+def test_a_stream_of_messages_is_sent_once(spark):
+    from skybasin.session import working_dir
+    from skybasin.sources import messages
+
+    folder = working_dir(spark, "outbox")
+    rows = spark.createDataFrame([("2026-04-21T14:00:00Z", "A", "1", "m1"), (None, "B", "2", "m2")], "timestamp string, province string, pm25 string, message_id string")
+    rows.write.parquet(f"{folder}/in")
+    for _ in range(2):
+        sent = messages.envelope(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), "air_quality")
+        messages.send_stream(sent, f"{folder}/log", f"{folder}/out", available_now=True).awaitTermination()
+    found = sorted(spark.read.parquet(f"{folder}/out").collect())
+    assert [(r.topic, r.key) for r in found] == [(fv.TOPICS["air_quality"], "m1"), (fv.TOPICS["air_quality"], "m2")]
+    assert messages.decode(spark.read.parquet(f"{folder}/out"), "air_quality").filter("record.province = 'B'").count() == 1

@@ -1,5 +1,6 @@
 """Streams over a folder of message files: replay, duplicates, broken messages."""
 
+import hashlib
 import json
 
 import pytest
@@ -8,7 +9,8 @@ from skybasin import fixed_values as fv
 from skybasin.session import working_dir
 from skybasin.sources import messages
 from skybasin.sources.tables import TableStore
-from skybasin.streaming.bronze import ingest_batch, start_ingest
+from skybasin.streaming.bronze import MODES, ingest_batch, start_ingest
+from skybasin.streaming.id_index import IdIndex, placed
 
 RUN = "2026-05-01T00:00:00+00:00"
 
@@ -27,8 +29,8 @@ def weather(message_id):
 
 
 class Ingest:
-    def __init__(self, spark, dedup):
-        self.spark, self.dedup = spark, dedup
+    def __init__(self, spark, dedup, **options):
+        self.spark, self.dedup, self.options = spark, dedup, options
         self.folder = working_dir(spark, "stream")
         self.store = TableStore(spark, f"{self.folder}/store")
         self.counts = []
@@ -40,14 +42,20 @@ class Ingest:
     def run(self, checkpoint="checkpoint"):
         stream = messages.read_stream(self.spark, "json", f"{self.folder}/in", max_per_trigger=1)
         query = start_ingest(stream, self.store, f"{self.folder}/{checkpoint}", self.dedup, available_now=True,
-                             clock=lambda: RUN, on_batch=lambda _, counts: self.counts.append(counts))
+                             clock=lambda: RUN, on_batch=self.count, **self.options)
         query.awaitTermination()
+        return query
+
+    def count(self, _, counts):
+        # The watermark also moves in batches without messages.
+        if counts["total"] or counts["unmapped"] or self.dedup != "watermark":
+            self.counts.append(counts)
 
     def ids(self, source="air_quality"):
         return sorted((r.message_id for r in self.store.read(fv.BRONZE[source]).collect()), key=str)
 
 
-@pytest.mark.parametrize("dedup", ["table", "state"])
+@pytest.mark.parametrize("dedup", MODES)
 def test_ingest(spark, dedup):
     stream = Ingest(spark, dedup)
     stream.send(air("a"), air("a"), air("b", 17), air(None), air(None, "2"), weather("a"),
@@ -62,11 +70,12 @@ def test_ingest(spark, dedup):
     assert rejects == [("air_quality_raw", "[1]"), ("air_quality_raw", "{broken"), ("flood_raw", "5")]
     row = stream.store.read("bronze_air_quality").filter("message_id = 'b'").first()
     assert (row.pm25, row._ingested_at, row._source, row._layer) == ("17", RUN, "air_quality", "bronze")
-    assert stream.counts[0] == {"total": 9, "written": 4, "duplicates": 2, "errors": 3, "unmapped": 1}
-    assert stream.counts[1] == {"total": 4, "written": 2, "duplicates": 2, "errors": 0, "unmapped": 0}
+    none_late = {"late": 0} if dedup == "watermark" else {}
+    assert stream.counts[0] == {"total": 9, "written": 4, "duplicates": 2, "errors": 3, "unmapped": 1} | none_late
+    assert stream.counts[1] == {"total": 4, "written": 2, "duplicates": 2, "errors": 0, "unmapped": 0} | none_late
 
 
-@pytest.mark.parametrize("dedup", ["table", "state"])
+@pytest.mark.parametrize("dedup", MODES)
 def test_a_lost_checkpoint_adds_nothing(spark, dedup):
     stream = Ingest(spark, dedup)
     stream.send(air("a"), air("b"), weather("w"))
@@ -123,7 +132,7 @@ def test_copies_of_a_reject_without_a_place_all_stay(spark, store):
     assert store.read("bronze_rejects").count() == 3
 
 
-@pytest.mark.parametrize("dedup", ["table", "state"])
+@pytest.mark.parametrize("dedup", MODES)
 def test_the_first_arrival_wins(spark, dedup):
     stream = Ingest(spark, dedup)
 
@@ -136,3 +145,113 @@ def test_the_first_arrival_wins(spark, dedup):
     stream.run()
     stored = stream.store.read("bronze_air_quality").select("message_id", "pm25").collect()
     assert sorted(map(tuple, stored)) == [("a", "1"), ("b", "2")]
+
+
+def own_air(day, pm25="1", province="Bangkok"):
+    """A message whose id is the hash of its content."""
+    when = f"{day}T14:00:00Z"
+    fields = {"timestamp": when, "province": province, "pm25": pm25}
+    return message("air_quality_raw", None, **fields, message_id=hashlib.md5(f"{when}|{province}|{pm25}".encode()).hexdigest())
+
+
+def _scanned_files(df):
+    """Files that the scans of a query opened, by its own metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    text, files = [plan], 0
+    while text:
+        node = text.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        elif name.endswith("QueryStageExec"):
+            node = node.plan()
+        metric = node.metrics().get("numFiles")
+        files += metric.get().value() if metric.isDefined() else 0
+        text += [node.children().apply(i) for i in range(node.children().size())]
+        text += [node] if name == "AdaptiveSparkPlanExec" else []
+    return files
+
+
+def test_a_look_up_reads_the_days_and_buckets_of_the_batch(spark, store):
+    index = IdIndex(store)
+    index.create()
+
+    def batch(*rows):
+        from skybasin.sources.messages import parsed, routed
+
+        known = parsed(routed(spark.createDataFrame(list(rows), "topic string, key string, value string")))
+        return placed(known.withColumn("message_id", known["fields"]["message_id"]))
+
+    def ingest(days):
+        rows = [own_air(f"2026-{d // 28 + 1:02d}-{d % 28 + 1:02d}", str(i)) for d in days for i in range(40)]
+        frame = spark.createDataFrame(rows, "topic string, key string, value string")
+        assert ingest_batch(store, frame, RUN, look_up=False, index=index)["written"] == len(rows)
+
+    ingest(range(3))
+    looked_up = batch(own_air("2026-01-02", "7"), own_air("2026-01-02", "new"))
+    near = index._of_days(looked_up)
+    assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
+    before = _scanned_files(near)
+    ingest(range(3, 33))
+    after = _scanned_files(index._of_days(looked_up))
+    assert 0 < before == after
+    assert [r.message_id for r in index.unknown(looked_up).collect()] == [json.loads(own_air("2026-01-02", "new")[2])["message_id"]]
+    # An id that is no hash of its content is looked up in all days of its bucket.
+    known = json.loads(own_air("2026-01-02", "7")[2])["message_id"]
+    assert index.unknown(batch(air(known), air("else"))).select("message_id").collect() == [("else",)]
+    # Folders of few large files hold the same.
+    index.compact("2026-01-20")
+    assert index.unknown(looked_up).count() == 1 and index.read().count() == 33 * 40
+
+
+def test_an_id_of_another_day_is_the_same_id(spark, store):
+    index = IdIndex(store)
+    index.create()
+    own = own_air("2026-01-02")
+    foreign = air(json.loads(own[2])["message_id"], "99")
+    schema = "topic string, key string, value string"
+    for rows in ([foreign], [own], [foreign, own]):
+        ingest_batch(store, spark.createDataFrame(rows, schema), RUN, look_up=False, index=index)
+    assert [r.pm25 for r in store.read("bronze_air_quality").collect()] == ["99"]
+
+
+def test_an_index_that_a_failure_left_behind_is_completed(spark, store):
+    index = IdIndex(store)
+    index.create()
+    batch = spark.createDataFrame([own_air("2026-01-02", str(i)) for i in range(5)], "topic string, key string, value string")
+    # Raw rows are written, the index is not.
+    assert ingest_batch(store, batch, RUN)["written"] == 5 and index.read().count() == 0
+    assert ingest_batch(store, batch, RUN, look_up=True, index=index)["written"] == 0
+    assert index.read().count() == 5
+    assert ingest_batch(store, batch, RUN, look_up=False, index=index)["written"] == 0
+
+
+def test_ids_beyond_the_watermark_are_forgotten_and_reported(spark):
+    stream = Ingest(spark, "watermark", delay="2 days")
+    stream.send(*(own_air("2026-01-01", str(i)) for i in range(20)))
+    stream.run()
+    stream.send(own_air("2026-01-20"), own_air("2026-01-01", "3"))
+    stream.run()
+    # 1 January is beyond the watermark now: an id that is stored is a duplicate, any other is late.
+    stream.send(own_air("2026-01-21"), own_air("2026-01-01", "4"), own_air("2026-01-01", "late"), air(None))
+    query = stream.run()
+    assert {k: stream.counts[-1][k] for k in ("written", "duplicates", "late")} == {"written": 2, "duplicates": 1, "late": 1}
+    stream.send(own_air("2026-01-01", "late"), own_air("2026-01-21"))
+    query = stream.run()
+    assert {k: stream.counts[-1][k] for k in ("written", "duplicates", "late")} == {"written": 0, "duplicates": 1, "late": 1}
+    reported = [json.loads(r.value)["pm25"] for r in stream.store.read("bronze_late").collect()]
+    assert reported == ["late"]
+    rows = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert 0 < min(rows) <= 2
+    assert stream.store.read("bronze_air_quality").count() == 23
+
+
+def test_messages_without_a_time_need_no_state(spark):
+    stream = Ingest(spark, "watermark", delay="1 day")
+    timeless = [message("air_quality_raw", None, pm25="1", message_id=i) for i in ("x", "y", "x")]
+    stream.send(own_air("2026-03-01"), *timeless)
+    stream.run()
+    stream.send(own_air("2026-03-09"), timeless[0], message("flood_raw", None, date="no day", message_id="z"))
+    stream.run()
+    assert [c["written"] for c in stream.counts] == [3, 2] and [c["late"] for c in stream.counts] == [0, 0]
