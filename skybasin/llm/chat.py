@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from skybasin.llm.common import text_of
 
 HEAD, HEAD_END, TURN_END = "[INST]", "[/INST]", "</s>"
+#: Turns whose places are added up at once.
+CHUNK = 256
 #: A control string with any number of backslashes behind its first character.
 _ESCAPE = r"([<\[])(\\*/?(?:s>|INST\]))"
 _UNESCAPE = r"([<\[])\\(\\*/?(?:s>|INST\]))"
@@ -95,12 +97,39 @@ def format_conversations(
             .alias("spans"),
         )
 
-    return marked.select(
+    # Spans of CHUNK turns from the chunk's start, then the starts of the chunks: a list that grows is copied
+    # for every turn, so no list gets longer than a chunk or than there are chunks.
+    count = F.ceil(F.size("parts") / CHUNK).cast("int")
+    chunks = F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda k: F.aggregate(F.slice("parts", k * CHUNK + 1, F.lit(CHUNK)), nothing, step),
+    )
+    placed = marked.select("conv_id", "parts", chunks.alias("chunks")).select(
+        "conv_id",
+        "parts",
+        "chunks",
+        F.aggregate(
+            "chunks",
+            F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts")),
+            lambda done, chunk: F.struct(
+                (done["at"] + chunk["at"]).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts")
+            ),
+            lambda done: done["starts"],
+        ).alias("starts"),
+    )
+    spans = F.transform(
+        F.arrays_zip("chunks", "starts"),
+        lambda x: F.transform(
+            x["chunks"]["spans"],
+            lambda span: F.struct((span["start"] + x["starts"]).alias("start"), span["length"].alias("length")),
+        ),
+    )
+    return placed.select(
         "conv_id",
         F.array_join(
             F.transform("parts", lambda x: F.concat(x["head"], x["body"], F.lit(TURN_END))), ""
         ).alias("formatted"),
-        F.aggregate("parts", nothing, step, lambda done: done["spans"]).alias("loss_spans"),
+        F.flatten(spans).alias("loss_spans"),
     )
 
 
@@ -122,16 +151,19 @@ def read_turns(formatted: str | Column) -> Column:
 
 def read_learnt(formatted: str, spans: str) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    raw = F.col(formatted).cast("binary")
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda x: unescape(
-                F.substr(raw, (x["start"] + 1).cast("int"), x["length"].cast("int")).cast("string")
+    # One element, so that the bytes are made once and not for every span.
+    return F.transform(
+        F.array(F.col(formatted).cast("binary")),
+        lambda raw: F.array_join(
+            F.transform(
+                spans,
+                lambda x: unescape(
+                    F.substr(raw, (x["start"] + 1).cast("int"), x["length"].cast("int")).cast("string")
+                ),
             ),
+            "",
         ),
-        "",
-    )
+    )[0]
 
 
 def chat_digest(formatted: DataFrame) -> DataFrame:

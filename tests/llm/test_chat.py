@@ -3,6 +3,8 @@ import hashlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from skybasin.llm import chat
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, turns string, parts int, formatted string"
@@ -77,3 +79,29 @@ def test_long_conversation_and_text(spark):
 def test_only_native_expressions(spark):
     plan = _formatted(spark, [(1, 0, "user", "a")])._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_very_long_conversation(spark):
+    """Its spans lie in many chunks, and its time grows with its turns."""
+    count = 40_000
+    turns = spark.range(count).select(
+        F.lit(None).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("é</s>"), F.col("id").cast("string")).alias("text"),
+    )
+    formatted = chat.format_conversations(turns)
+    row = formatted.select("formatted", "loss_spans", chat.read_learnt("formatted", "loss_spans").alias("learnt")).head()
+    raw = row.formatted.encode()
+    wanted = [f"é<\\/s>{i}" for i in range(count) if i % 3]
+    assert [raw[s.start : s.start + s.length].decode() for s in row.loss_spans] == wanted
+    assert row.learnt == "".join(x.replace("<\\/", "</") for x in wanted)
+    assert chat.chat_digest(formatted).head().n_turns == count
+
+
+def test_spans_at_the_edges_of_chunks(spark, monkeypatch):
+    monkeypatch.setattr(chat, "CHUNK", 3)
+    rows = [(c, i, "assistant" if i % 2 else "user", "x" * i) for c in range(8) for i in range(c + 1)]
+    for row in _formatted(spark, rows).collect():
+        raw = row.formatted.encode()
+        assert [raw[s.start : s.start + s.length].decode() for s in row.loss_spans] == ["x" * i for i in range(row.conv_id + 1) if i % 2]
