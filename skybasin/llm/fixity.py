@@ -2,9 +2,11 @@
 
 A replica's records stand in order of their number in archive files of ``FILE_RECORDS`` numbers each.
 Leaves are digests of single records; a node covers ``FANOUT`` neighbouring numbers, then
-``FANOUT`` such nodes, and so on up to the root, and its digest is that of its children's numbers and
-digests in order.  Ranges are by number, so a lost record changes the nodes above it and no others.
-Each node also carries the byte range of the archive file(s) that it covers.
+``FANOUT`` such nodes, and so on up to the root.  Its digest is that of its children in order: of each the
+number, the offset range and the digest.  Offsets are relative: a record's begins where the record
+before it in its file ends (0 bytes further, unless something stands between), and a node's range is as long
+as those of its children.  So records that are moved, swapped or pushed apart by foreign bytes show, while a lost or
+shortened record changes the nodes above it and no others.
 
 Two replicas are compared from the root down: only nodes whose digests differ are opened, and
 their children are all that is joined.
@@ -52,10 +54,18 @@ class Tree:
 
 
 def build_tree(
-    records: DataFrame, number_col: str = "number", bytes_col: str = "record", top: int | None = None
+    records: DataFrame,
+    number_col: str = "number",
+    bytes_col: str = "record",
+    top: int | None = None,
+    file_col: str | None = None,
+    offset_col: str | None = None,
 ) -> Tree:
     """The tree over ``records`` (a whole number and the record's bytes), with ``top`` levels of nodes.
 
+    ``file_col`` (a whole number) and ``offset_col`` say where a record was found; without them, or where
+    they are null, it is where an archive without gaps has it.  Of several records under one number the first place counts.
+
     Repeated numbers make one leaf over the distinct records and how often each is there.  Null bytes are an empty
     record.  A null number stands for numbers below zero that the digest gives, so that
     such records are compared as well.  An empty table gives a tree of empty levels.
@@ -65,17 +75,24 @@ def build_tree(
         _number(number_col, bytes_col).alias("node"),
         _digest(bytes_col).alias("digest"),
         F.coalesce(F.octet_length(f"`{bytes_col}`"), F.lit(0)).cast("bigint").alias("length"),
+        F.struct(
+            *((F.col(f"`{c}`") if c else F.lit(None)).cast("bigint").alias(a) for c, a in ((file_col, "file"), (offset_col, "offset")))
+        ).alias("found"),
     )
-    same = rows.groupBy("node", "digest", "length").agg(F.count("*").alias("copies"))
+    same = rows.groupBy("node", "digest", "length").agg(F.count("*").alias("copies"), F.min("found").alias("found"))
     leaves = same.groupBy("node").agg(
+        F.min("found").alias("found"),
         F.sum(F.col("length") * F.col("copies")).alias("length"),
         F.sum("copies").alias("records"),
         F.array_sort(F.collect_list(F.struct("digest", "copies"))).alias("parts"),
     )
-    in_file = Window.partitionBy("file").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("file").orderBy("node")
+    in_file = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    own_file = F.floor(F.col("node") / FILE_RECORDS)
     placed = (
-        leaves.withColumn("file", F.floor(F.col("node") / FILE_RECORDS))
-        .withColumn("start", F.coalesce(F.sum("length").over(in_file), F.lit(0)))
+        leaves.withColumn("file", F.coalesce("found.file", own_file))
+        .withColumn("start", F.coalesce("found.offset", F.sum("length").over(in_file), F.lit(0)))
+        .withColumn("gap", F.col("start") - F.coalesce(F.lag(F.col("start") + F.col("length")).over(in_order), F.lit(0)))
         .select(
             "node",
             # One record is its own digest; several under one number are listed.
@@ -89,6 +106,9 @@ def build_tree(
             "start",
             (F.col("start") + F.col("length")).alias("end"),
             "records",
+            (F.col("file") - own_file).alias("shift"),
+            "gap",
+            "length",
         )
     )
     levels = [stored(placed, "merkle")]
@@ -120,15 +140,22 @@ def height(replicas: list[DataFrame], number_col: str = "number", bytes_col: str
 
 
 def _parents(level: DataFrame) -> DataFrame:
-    children = F.array_sort(F.collect_list(F.struct("node", "digest", "first_file", "start", "last_file", "end")))
+    children = F.array_sort(
+        F.collect_list(F.struct("node", "digest", "first_file", "start", "last_file", "end", "shift", "gap", "length"))
+    )
+    hashed = ("node", "shift", "gap", "length", "digest")
     return (
         level.groupBy(F.floor(F.col("node") / FANOUT).alias("node"))
-        .agg(children.alias("children"), F.sum("records").alias("records"))
+        .agg(
+            children.alias("children"),
+            F.sum("records").alias("records"),
+            F.sum(F.col("gap") + F.col("length")).alias("length"),
+        )
         .select(
             "node",
             F.sha2(
                 F.array_join(
-                    F.transform("children", lambda c: F.concat_ws(":", c["node"].cast("string"), c["digest"])), "\n"
+                    F.transform("children", lambda c: F.concat_ws(":", *(c[x].cast("string") for x in hashed))), "\n"
                 ),
                 256,
             ).alias("digest"),
@@ -137,6 +164,9 @@ def _parents(level: DataFrame) -> DataFrame:
             F.col("children")[0]["start"].alias("start"),
             F.element_at("children", -1)["end"].alias("end"),
             "records",
+            F.lit(0).cast("bigint").alias("shift"),
+            F.lit(0).cast("bigint").alias("gap"),
+            "length",
         )
     )
 
@@ -144,7 +174,7 @@ def _parents(level: DataFrame) -> DataFrame:
 def audit(expected: Tree, found: Tree) -> DataFrame:
     """The records that differ between two replicas, and where each lies in either.
 
-    ``node`` (the record's number), ``state`` (missing, extra or changed), ``file, start, end`` of the
+    ``node`` (the record's number), ``state`` (missing, extra, changed or, where only the place differs, moved), ``file, start, end`` of the
     record where it is expected and ``found_start, found_end`` where it was found, ``expected_digest,
     found_digest``.  Equal replicas, two empty ones included, give no rows.
     """
@@ -164,26 +194,48 @@ def audit(expected: Tree, found: Tree) -> DataFrame:
 
 def _differences(left: DataFrame, right: DataFrame) -> DataFrame:
     a = left.select(
-        "node", F.col("digest").alias("expected_digest"), F.col("first_file").alias("file"), "start", "end"
+        "node",
+        F.col("digest").alias("expected_digest"),
+        F.col("first_file").alias("file"),
+        "start",
+        "end",
+        F.struct("shift", "gap").alias("place"),
     )
     b = right.select(
-        "node", F.col("digest").alias("found_digest"), F.col("start").alias("found_start"), F.col("end").alias("found_end")
+        "node",
+        F.col("digest").alias("found_digest"),
+        F.col("start").alias("found_start"),
+        F.col("end").alias("found_end"),
+        F.struct("shift", "gap").alias("found_place"),
     )
     state = (
         F.when(F.col("found_digest").isNull(), "missing")
         .when(F.col("expected_digest").isNull(), "extra")
-        .otherwise("changed")
+        .when(F.col("expected_digest") != F.col("found_digest"), "changed")
+        .otherwise("moved")
     )
     return (
         a.join(b, "node", "full_outer")
-        .filter(~F.col("expected_digest").eqNullSafe(F.col("found_digest")))
+        .filter(
+            ~F.col("expected_digest").eqNullSafe(F.col("found_digest")) | ~F.col("place").eqNullSafe(F.col("found_place"))
+        )
         .select("node", state.alias("state"), "file", "start", "end", "found_start", "found_end", "expected_digest", "found_digest")
     )
 
 
-def audit_records(expected: DataFrame, found: DataFrame, number_col: str = "number", bytes_col: str = "record") -> DataFrame:
-    """Build both trees, to one height, and compare them."""
+def audit_records(
+    expected: DataFrame,
+    found: DataFrame,
+    number_col: str = "number",
+    bytes_col: str = "record",
+    file_col: str | None = None,
+    offset_col: str | None = None,
+) -> DataFrame:
+    """Build both trees, to one height, and compare them; a replica may lack the columns of places."""
     top = height([expected, found], number_col, bytes_col)
-    return audit(
-        build_tree(expected, number_col, bytes_col, top), build_tree(found, number_col, bytes_col, top)
-    )
+
+    def tree(records: DataFrame) -> Tree:
+        places = (c if c in records.columns else None for c in (file_col, offset_col))
+        return build_tree(records, number_col, bytes_col, top, *places)
+
+    return audit(tree(expected), tree(found))

@@ -92,25 +92,27 @@ WITH pages_ AS (
         CAST('0x' || substr(md5(coalesce(url, '')), 1, 4) AS INTEGER) % 400 AS die
     FROM pages
 ), replica AS (
-    SELECT page_id, url, e, CASE die WHEN 1 THEN left(html, 100) WHEN 2 THEN html || chr(10) ELSE html END AS html
+    SELECT page_id, url, e, CASE die WHEN 1 THEN left(html, 100) WHEN 2 THEN html || chr(10) ELSE html END AS html,
+        CASE die WHEN 4 THEN 7 ELSE 0 END AS pad
     FROM pages_ WHERE die <> 0
-    UNION ALL SELECT -1 - page_id, url, e, html FROM pages_ WHERE die = 3
+    UNION ALL SELECT -1 - page_id, url, e, html, 0 FROM pages_ WHERE die = 3
 ), a AS (
     SELECT page_id, CAST(floor(page_id / 4096.0) AS BIGINT) AS file, {_record("page_id", "url", "html")} AS record FROM pages_
 ), b AS (
-    SELECT page_id, CAST(floor(page_id / 4096.0) AS BIGINT) AS file, {_record("page_id", "url", "html")} AS record FROM replica
+    SELECT page_id, CAST(floor(page_id / 4096.0) AS BIGINT) AS file, {_record("page_id", "url", "html")} AS record, pad FROM replica
 ), a_ AS (
     SELECT *, CAST(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id) AS BIGINT) AS stop FROM a
 ), b_ AS (
-    SELECT *, CAST(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id) AS BIGINT) AS stop FROM b
+    SELECT *, CAST(sum(strlen(record) + pad) OVER (PARTITION BY file ORDER BY page_id) AS BIGINT) AS stop FROM b
 )
 SELECT coalesce(a_.page_id, b_.page_id) AS page_id,
-    CASE WHEN b_.page_id IS NULL THEN 'missing' WHEN a_.page_id IS NULL THEN 'extra' ELSE 'changed' END AS state,
+    CASE WHEN b_.page_id IS NULL THEN 'missing' WHEN a_.page_id IS NULL THEN 'extra'
+        WHEN a_.record <> b_.record THEN 'changed' ELSE 'moved' END AS state,
     a_.file AS file, a_.stop - strlen(a_.record) AS start, a_.stop AS "end",
     b_.stop - strlen(b_.record) AS found_start, b_.stop AS found_end,
     sha256(a_.record) AS expected_digest, sha256(b_.record) AS found_digest
 FROM a_ FULL JOIN b_ ON a_.page_id = b_.page_id
-WHERE a_.record IS DISTINCT FROM b_.record
+WHERE a_.record IS DISTINCT FROM b_.record OR pad > 0
 """
 
 

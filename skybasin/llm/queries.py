@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skybasin.llm import bpe, chat, cover_tree, exact_dedup, fixity, manifest, minhash, mixing, oracle, prefix_trie, quality, repeats, token_files, toxicity
@@ -26,7 +26,7 @@ def register(sql: str | None = None):
 
 
 def damaged(pages: DataFrame) -> DataFrame:
-    """A second replica: by the digest of its address a page is lost, cut short or changed, or has a twin."""
+    """A second replica: by the digest of its address a page is lost, cut short, changed, or pushed away, or has a twin."""
     die = F.conv(F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 4), 16, 10).cast("int") % 400
     body = F.coalesce("html", F.lit(""))
     replica = pages.select(
@@ -36,8 +36,10 @@ def damaged(pages: DataFrame) -> DataFrame:
         .when(die == 2, F.concat(body, F.lit("\n")))
         .otherwise(F.col("html"))
         .alias("html"),
+        # Foreign bytes before the record.
+        F.when(die == 4, 7).otherwise(0).alias("pad"),
     )
-    twins = pages.filter(die == 3).select((-1 - F.col("page_id")).alias("page_id"), "url", "html")
+    twins = pages.filter(die == 3).select((-1 - F.col("page_id")).alias("page_id"), "url", "html", F.lit(0).alias("pad"))
     return replica.filter(die != 0).unionByName(twins)
 
 
@@ -47,9 +49,14 @@ def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def records(replica: DataFrame) -> DataFrame:
         record = fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-        return replica.select(F.col("page_id").alias("number"), record.alias("record"))
-
-    return fixity.audit_records(records(pages), records(damaged(pages))).withColumnRenamed("node", "page_id")
+        kept = [c for c in replica.columns if c == "pad"]
+        return replica.select(F.col("page_id").alias("number"), *kept, record.alias("record"))
+
+    # Where the records of the replica lie in their files.
+    size = F.col("pad") + F.octet_length("record")
+    so_far = Window.partitionBy(F.floor(F.col("number") / fixity.FILE_RECORDS)).orderBy("number")
+    found = records(damaged(pages)).withColumn("offset", F.sum(size).over(so_far) - F.octet_length("record"))
+    return fixity.audit_records(records(pages), found, offset_col="offset").withColumnRenamed("node", "page_id")
 
 
 @register(oracle.CHAT)

@@ -70,3 +70,33 @@ def test_record_bytes(spark):
     found = [bytes(r[0]) for r in row.select(fixity.warc_record(F.col("n"), F.col("u"), F.col("h"))).collect()]
     assert found[0].endswith(b"WARC-Target-URI: \r\nContent-Type: text/html\r\nContent-Length: 0\r\n\r\n\r\n\r\n")
     assert b"Content-Length: 5\r\n\r\n<p>\xc3\xa9\r\n\r\n" in found[1]
+
+
+def _placed(spark, rows):
+    return spark.createDataFrame([(n, bytearray(r), f, o) for n, r, f, o in rows], "number bigint, record binary, file bigint, at bigint")
+
+
+def _moves(expected, found):
+    rows = fixity.audit_records(expected, found, file_col="file", offset_col="at").collect()
+    return sorted((r.node, r.state, r.found_start) for r in rows)
+
+
+def test_places_of_records_are_part_of_the_audit(spark):
+    good = [(i, b"record %d" % i, 0, 8 * i) for i in range(10)]
+    whole = _placed(spark, good)
+    assert _moves(whole, _placed(spark, good)) == []
+    # An archive without gaps is where records are expected without columns of places.
+    assert _moves(whole.select("number", "record"), _placed(spark, good)) == []
+    # Foreign bytes before record 4 push it and all after it; only its own distance changes.
+    pushed = [(n, r, f, o + (5 if n >= 4 else 0)) for n, r, f, o in good]
+    assert _moves(whole, _placed(spark, pushed)) == [(4, "moved", 37)]
+    # Two records that changed places: they and the one behind them have others before them.
+    swapped = [(n, r, f, {2: 24, 3: 16}.get(n, o)) for n, r, f, o in good]
+    assert [x[:2] for x in _moves(whole, _placed(spark, swapped))] == [(2, "moved"), (3, "moved"), (4, "moved")]
+    # A lost record whose place was closed changes no neighbour; one that left a hole moves the next.
+    closed = [(n, r, f, o - (8 if n > 6 else 0)) for n, r, f, o in good if n != 6]
+    assert _moves(whole, _placed(spark, closed)) == [(6, "missing", None)]
+    assert [x[:2] for x in _moves(whole, _placed(spark, [x for x in good if x[0] != 6]))] == [(6, "missing"), (7, "moved")]
+    # A record in another file.
+    other = [(n, r, 1 if n == 9 else f, 0 if n == 9 else o) for n, r, f, o in good]
+    assert _moves(whole, _placed(spark, other)) == [(9, "moved", 0)]
