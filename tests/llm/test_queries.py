@@ -1,11 +1,12 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 from oracle_check import connect, difference
 
 import corpus_pipeline
 from skybasin.llm import bpe, mixing, toxicity
-from skybasin.llm.common import tokenizer_file
+from skybasin.llm.common import stored, tokenizer_file
 from skybasin.llm.queries import ORACLES, QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -71,3 +72,35 @@ def test_the_last_stage_gives_the_token_ids(spark):
 
 def test_stages():
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["drop_toxic", "drop_copies", "drop_near_copies", "mix_sources", "encode"]
+
+
+def _through(spark, docs):
+    """The documents after each stage."""
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, DIR), f"test-{name}".replace(" ", "-"))
+        out.append(docs)
+    return out
+
+
+def test_pipeline_over_an_empty_table(spark, docs_of):
+    empty = docs_of([])
+    *before, last = _through(spark, empty)
+    assert all(x.columns == empty.columns and x.isEmpty() for x in before) and last.isEmpty()
+
+
+def test_pipeline_with_nulls_repeats_and_clashing_names(spark, docs_of):
+    base = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, base), (1, base), (2, base), (None, base), (3, f"{base} more"), (None, "alone and without an id"), (4, None), (4, None), (5, "")]
+    rows += [(6, "some other words entirely", None)]
+    docs = docs_of(rows).withColumn("ids", F.lit("clash")).withColumn("decoded", F.lit(1))
+    toxic, exact, near, mixed, last = _through(spark, docs)
+    assert all(x.columns == docs.columns for x in (toxic, exact, near, mixed))
+    assert toxic.count() == len(rows)
+    # One of the equal texts stays, null and empty ones being equal; then one of those that are near.
+    assert sorted((r.doc_id or 0, r.text or "") for r in exact.collect()) == sorted(
+        [(1, base), (3, f"{base} more"), (0, "alone and without an id"), (4, ""), (6, "some other words entirely")]
+    )
+    assert sorted(r.doc_id or 0 for r in near.collect()) == [0, 1, 4, 6]
+    assert {r.doc_id for r in mixed.collect()} <= {None, 1, 6}
+    assert all(r.n_tokens == len(r.ids) for r in last.collect()) and last.count() == mixed.count()

@@ -64,3 +64,35 @@ def test_segments_give_all_n_grams(monkeypatch):
     whole = sorted(set(x for part in toxicity.buckets("some longer text, twice") for x in part.tolist()))
     monkeypatch.setattr(toxicity, "SEGMENT", 6)
     assert sorted(set(x for part in toxicity.buckets("some longer text, twice") for x in part.tolist())) == whole
+
+
+def _plain_buckets(text):
+    """Hashes of all n-grams one by one, in whole numbers."""
+    whole = 1 << 64
+    text, found = text.lower(), set()
+    for size in toxicity.SIZES:
+        for at in range(len(text) - size + 1):
+            x = (size + sum(ord(c) * int(f) for c, f in zip(text[at : at + size], toxicity._FACTORS))) % whole
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % whole
+            x = (x ^ x >> 27) * 0x94D049BB133111EB % whole
+            found.add((x ^ x >> 31) % toxicity.BUCKETS)
+    return found
+
+
+def test_scores_are_sums_over_ngrams_counted_one_by_one(spark, docs_of):
+    rows = [(i, f"good words here {i}") for i in range(20)] + [(50 + i, f"Bad nasty words {i}") for i in range(12)]
+    rows += [(90, ""), (91, None), (92, "é nasty \U0001f600 x" * 9), (93, "ab")]
+    labels = spark.createDataFrame([(i, int(i >= 50)) for i, _ in rows[:32]], "doc_id bigint, toxic int")
+    docs = docs_of(rows)
+    model = toxicity.train(docs, labels)
+    weight = dict(zip(model.chosen.tolist(), model.weights.tolist()))
+    found = {r.doc_id: r.s for r in docs.select("doc_id", toxicity.score("text", model).alias("s")).collect()}
+    for doc_id, text in rows:
+        total = model.constant + sum(weight.get(b, 0.0) for b in _plain_buckets(text or ""))
+        assert abs(found[doc_id] - 1 / (1 + 2.718281828459045 ** -total)) < 1e-9
+    # The weight of a bucket has its naive Bayes ratio as a factor: the sides of a bucket decide its sign.
+    texts = [(_plain_buckets(t), i >= 50) for i, t in rows[:32]]
+    for bucket in list(weight)[:200]:
+        p = sum(bucket in b for b, toxic in texts if toxic) + 0.5
+        q = sum(bucket in b for b, toxic in texts if not toxic) + 0.5
+        assert weight[bucket] * ((p / 13) - (q / 21)) >= -1e-6
