@@ -30,7 +30,7 @@ from datetime import datetime, timezone
 from functools import partial, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -186,12 +186,11 @@ def _new_rejects(store: TableStore, messages: DataFrame, ingested_at: str) -> Da
     """
     text = ["topic", "key", "value"]
     place = ["partition", "offset"]
-    alike = Window.partitionBy(*text, *place).orderBy(F.lit(1))
-    broken = messages.filter("source IS NOT NULL AND fields IS NULL").select(
-        *text, *place, F.row_number().over(alike).alias("copy")
-    )
+    # Copies are counted where they are and numbered after, so a line that a feed repeats is no hot group.
+    alike = messages.filter("source IS NOT NULL AND fields IS NULL").groupBy(*text, *place).agg(F.count("*").alias("n"))
     # A place that is repeated within a batch is one message.
-    broken = broken.filter("offset IS NULL OR copy = 1")
+    copies = F.when(F.col("offset").isNull(), F.col("n")).otherwise(1).cast("int")
+    broken = alike.select(*text, *place, F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
     return absent(broken, store.read("bronze_rejects"), [*text, *place, "copy"]).withColumn(
         "_ingested_at", F.lit(ingested_at)
     )
