@@ -10,8 +10,8 @@
     class is compared with one of its buckets' centres; what is linked becomes a component, and the next
     round, with other centres, is only for buckets that still hold several components.  So there are no
     more pairs than classes in a round, and a group of copies is mostly joined by that.
-4.  Members of one bucket that are still in different components are compared with each other
-    where their signatures allow a link.  That join emits only such pairs.
+4.  Members of one bucket that are still in different components are compared with each other, on
+    the full sets where their signatures allow a link.  That join emits only links.
 5.  Every link is confirmed on the full sets.
 
 Ids may repeat or be null: inside, a row is its number in the stored sketches, and its id and a
@@ -233,8 +233,13 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         labels = components(tests.filter("linked"))
 
     # Buckets that still hold several components.
-    open_rows = _open(members, labels).select("key", "band", "id", "component").join(signatures, "id")
+    # The sets travel with the rows, so that only links leave the join: of texts that are alike, but not
+    # enough, a bucket has as many pairs as the square of its size.
+    open_rows = (
+        _open(members, labels).select("key", "band", "id", "component").join(signatures, "id").join(shingles, "id")
+    )
     left, right = open_rows.alias("l"), open_rows.alias("r")
+    both = F.size(F.array_intersect("l.shingles", "r.shingles"))
     across = left.join(
         right,
         (F.col("l.key") == F.col("r.key"))
@@ -242,11 +247,10 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         & (F.col("l.component") != F.col("r.component"))
         & may_link("l", "r", percent)
         # A pair comes from the first of the bands that it shares.
-        & ~F.arrays_overlap(F.expr("slice(l.bands, 1, l.band)"), F.expr("slice(r.bands, 1, r.band)")),
+        & ~F.arrays_overlap(F.expr("slice(l.bands, 1, l.band)"), F.expr("slice(r.bands, 1, r.band)"))
+        & (100 * both >= percent * (F.size("l.shingles") + F.size("r.shingles") - both)),
     ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    untested = across.distinct().join(tests, ["a", "b"], "left_anti")
-    second_tests = _confirm(untested, shingles, percent)
-    links = tests.filter("linked").select("a", "b").union(second_tests.filter("linked").select("a", "b"))
+    links = tests.filter("linked").select("a", "b").union(across)
     final = components(links).select(F.col("id").alias("class"), "component")
 
     # The first of a component, for the classes that have links; other classes have their own.
