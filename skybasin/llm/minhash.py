@@ -44,7 +44,7 @@ ROWS, MISS = 4, 2.1e-8
 SIGMAS = 5
 #: Rounds in which a class is compared with one centre each.
 ROUNDS = 5
-#: Rounds end, and all that is left is compared, when fewer than one pair in so many is a link.
+#: Rounds end, and all that is left is compared, when no more than one pair in so many is a link.
 WORTH = 20
 _WORDS = HASHES * BITS // 64
 _SIGNATURE = [f"s{i}" for i in range(_WORDS)]
@@ -219,25 +219,21 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         "shingles",
     )
 
-    members = members.join(mates, "id")
-    tests, labels = None, None
+    # Buckets are read again in each round: what is still open is stored, so that later rounds read less.
+    rows = stored(members.join(signatures.select("id", "mates"), "id").withColumn("component", F.col("id")), "open")
+    links = None
     for turn in range(ROUNDS):
-        pairs = _spokes(members, labels, turn)
-        if tests is not None:
-            pairs = pairs.join(tests, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "spokes")
-        tested = stored(_confirm(_likely(pairs, signatures, percent), shingles, percent), "tests")
-        tests = tested if tests is None else tests.unionByName(tested)
-        if turn and tested.filter("linked").count() * WORTH < pairs.count():
+        pairs = stored(_spokes(rows, turn), "spokes")
+        linked = stored(_confirm(_likely(pairs, signatures, percent), shingles, percent).filter("linked"), "tests")
+        links = linked if links is None else links.unionByName(linked)
+        if turn and linked.count() * WORTH <= pairs.count():
             break
-        labels = components(tests.filter("linked"))
+        rows = stored(_open(rows, components(links)), "open")
 
     # Buckets that still hold several components.
     # The sets travel with the rows, so that only links leave the join: of texts that are alike, but not
     # enough, a bucket has as many pairs as the square of its size.
-    open_rows = (
-        _open(members, labels).select("key", "band", "id", "component").join(signatures, "id").join(shingles, "id")
-    )
+    open_rows = rows.select("key", "band", "id", "component").join(signatures, "id").join(shingles, "id")
     left, right = open_rows.alias("l"), open_rows.alias("r")
     both = F.size(F.array_intersect("l.shingles", "r.shingles"))
     across = left.join(
@@ -250,8 +246,7 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         & ~F.arrays_overlap(F.expr("slice(l.bands, 1, l.band)"), F.expr("slice(r.bands, 1, r.band)"))
         & (100 * both >= percent * (F.size("l.shingles") + F.size("r.shingles") - both)),
     ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    links = tests.filter("linked").select("a", "b").union(across)
-    final = components(links).select(F.col("id").alias("class"), "component")
+    final = components(links.select("a", "b").union(across)).select(F.col("id").alias("class"), "component")
 
     # The first of a component, for the classes that have links; other classes have their own.
     linked = classes.select("class", "first").join(final, "class")
@@ -271,35 +266,30 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
     )
 
 
-def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members, with their component, of the buckets that hold several components."""
-    if labels is None:
-        return members.withColumn("component", F.col("id"))
-    labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their new component, of the buckets that hold several components; others never do again."""
+    named = labels.select("id", F.col("component").alias("now"))
+    labelled = rows.join(named, "id", "left").withColumn("component", F.coalesce("now", "id")).drop("now")
     mixed = labelled.groupBy("key").agg(
         F.min("component").alias("lowest"), F.max("component").alias("highest")
     ).filter("lowest < highest")
     return labelled.join(mixed.select("key"), "key")
 
 
-def _spokes(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+def _spokes(rows: DataFrame, turn: int) -> DataFrame:
     """Pairs to compare in a round: each class with one member of another component in one of its open buckets.
 
     A bucket's centre is at first its member with most mates, in later rounds another one each time.
     Of its buckets' centres a class takes the one that is centre to most, so there are no more pairs than classes.
+    A centre ranks above the classes that take it, so no pair comes twice in a round.
     """
-    rows = _open(members, labels).select("key", "id", "component", "mates")
     rank = F.col("mates") if not turn else F.xxhash64(F.lit(turn), "id")
     centres = rows.groupBy("key").agg(
         F.max(F.struct(rank.alias("rank"), F.col("id").alias("centre"), F.col("component").alias("other"))).alias("c")
     )
-    pairs = rows.join(centres.select("key", "c.*"), "key").filter("component <> other")
+    pairs = rows.select("key", "id", "component").join(centres.select("key", "c.*"), "key").filter("component <> other")
     best = pairs.groupBy("id").agg(F.max(F.struct("rank", "centre")).alias("best"))
-    return _ordered(best.select(F.col("best.centre").alias("a"), F.col("id").alias("b")))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return best.select(F.col("best.centre").alias("a"), F.col("id").alias("b"))
 
 
 def _likely(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
