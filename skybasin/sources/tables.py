@@ -58,8 +58,10 @@ class TableStore:
         schema = table.schema
         if table.day_from:
             schema = T.StructType([*schema.fields, T.StructField(DAY, T.StringType())])
-        path = self.path(name) if table.day_from else Versions(self.spark, self.path(name)).current()[1]
-        df = self.spark.read.schema(schema).parquet(path)
+        if table.day_from:
+            df = self.spark.read.schema(schema).parquet(self.path(name))
+        else:
+            df = self._version(table, Versions(self.spark, self.path(name)).current()[1])
         if days is not None:
             # Spark prunes by a joined side that has a filter of its own.
             df = df.join(F.broadcast(days.filter(F.col(DAY) >= "")), DAY, "left_semi")
@@ -78,7 +80,7 @@ class TableStore:
             versions = Versions(self.spark, self.path(name))
             for _ in range(TRIES):
                 number, folder = versions.current()
-                before = self.spark.read.schema(table.schema).parquet(folder)
+                before = self._version(table, folder)
                 if self._publish(versions, number + 1, before.union(self._shaped(table, rows))):
                     return
             raise RuntimeError(f"{name}: overtaken by other writers {TRIES} times")
@@ -127,7 +129,7 @@ class TableStore:
         table, versions = TABLES[name], Versions(self.spark, self.path(name))
         for _ in range(TRIES):
             number, folder = versions.current()
-            before = self.spark.read.schema(table.schema).parquet(folder)
+            before = self._version(table, folder)
             merged = upsert(before, updates, table.key, with_change=count)
             if count:
                 merged = merged.checkpoint()
@@ -135,6 +137,12 @@ class TableStore:
                 return change_counts(merged) if count else None
         raise RuntimeError(f"{name}: overtaken by other writers {TRIES} times")
 
+    def _version(self, table: Table, folder: str | None) -> DataFrame:
+        """The rows of a version's folder; none before the first version."""
+        if folder is None:
+            return self.spark.createDataFrame([], table.schema)
+        return self.spark.read.schema(table.schema).parquet(folder)
+
     @staticmethod
     def _publish(versions: Versions, number: int, rows: DataFrame) -> bool:
         folder = versions.folder(number)
