@@ -126,3 +126,28 @@ def test_empty_table_and_damaged_dictionary(spark, docs_of):
     ).parquet(f"{folder}/dictionary")
     with pytest.raises(ValueError, match="damaged"):
         token_files.read_token_files(spark, folder)
+
+
+def test_encoding_a_batch_holds_little_memory_at_once():
+    """A 4 MB Arrow batch is encoded in slices, so a Python worker never holds all its pieces and ids at once."""
+    import tracemalloc
+
+    texts = _texts(200, seed=5)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(20_000), pa.int64()), pa.array([texts[i % 200] * 10 for i in range(20_000)], pa.string())],
+        ["doc_id", "\0text"],
+    )
+    assert batch.nbytes > 4_000_000
+    bpe.tokenizer(BYTES).encode(texts)  # the tokenizer and its cache of these pieces are no part of the peak
+    tracemalloc.start()
+    try:
+        rows, decoded = 0, []
+        for out in bpe.encoded_batches(iter([batch]), BYTES, ["doc_id", "ids", "decoded"], True):
+            rows += out.num_rows
+            decoded += out.column(2).to_pylist()[: 200 - len(decoded)]
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert rows == 20_000
+    assert decoded == [x * 10 for x in texts]
+    assert peak < 30_000_000
